@@ -8,9 +8,11 @@ than one stretch of rows, or one row per stretch, of a key.
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 STRETCH_SECONDS = 600
 _BEFORE_ALL = -(2**62)
+_STRETCH = "_stretch"
 
 
 def stretch(at: Column, seconds: int) -> Column:
@@ -23,36 +25,52 @@ def nearest(
     rows: DataFrame,
     key: str,
     order: list[str],
-    values: dict[str, Column],
+    earlier: dict[str, Column] | None = None,
+    later: dict[str, Column] | None = None,
     seconds: int = STRETCH_SECONDS,
-    later: bool = False,
 ) -> DataFrame:
-    """Adds, per entry of `values`, the nearest non-null value among the key's earlier rows.
+    """Adds the nearest non-null values among the key's earlier and later rows.
 
-    `order` starts with the time column and must order the rows of a key fully. With `later` the
-    search runs the other way, towards the rows that follow.
+    `order` starts with the time column and must order the rows of a key fully. All values wanted
+    should be asked for in one call: it reads the rows twice, once to shuffle them and once for
+    the aggregate.
     """
-    order_by = [F.col(c).desc() if later else F.col(c).asc() for c in order]
-    cut = F.col("_stretch").desc() if later else F.col("_stretch").asc()
-    inside = {f"_in_{name}": value for name, value in values.items()}
-    rows = rows.withColumns({"_stretch": stretch(F.col(order[0]), seconds), **inside})
+    earlier, later = earlier or {}, later or {}
+    wanted = {**earlier, **later}
+    rows = rows.withColumns(
+        {_STRETCH: stretch(F.col(order[0]), seconds), **{f"_in_{name}": v for name, v in wanted.items()}}
+    )
 
-    pick = F.min_by if later else F.max_by
     place = F.struct(*order)
-    edges = rows.groupBy(key, "_stretch").agg(
-        *[pick(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in inside]
+    edges = rows.groupBy(key, _STRETCH).agg(
+        *[
+            pick(f"_in_{name}", F.when(F.col(f"_in_{name}").isNotNull(), place)).alias(f"_in_{name}")
+            for names, pick in ((earlier, F.max_by), (later, F.min_by))
+            for name in names
+        ]
     )
-    across = Window.partitionBy(key).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+    up, down = F.col(_STRETCH).asc(), F.col(_STRETCH).desc()
     carried = edges.select(
-        key, "_stretch", *[F.last(c, ignorenulls=True).over(across).alias(f"_carry{c}") for c in inside]
+        key,
+        _STRETCH,
+        *[_last(name, _before(key).orderBy(up)).alias(f"_out_{name}") for name in earlier],
+        *[_last(name, _before(key).orderBy(down)).alias(f"_out_{name}") for name in later],
     )
 
-    within = (
-        Window.partitionBy(key, "_stretch").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    forward = _before(key, _STRETCH).orderBy(*[F.col(c).asc() for c in order])
+    backward = _before(key, _STRETCH).orderBy(*[F.col(c).desc() for c in order])
     found = {
-        name: F.coalesce(F.last(f"_in_{name}", ignorenulls=True).over(within), F.col(f"_carry_in_{name}"))
-        for name in values
+        name: F.coalesce(_last(name, window), F.col(f"_out_{name}"))
+        for names, window in ((earlier, forward), (later, backward))
+        for name in names
     }
-    joined = rows.join(carried, [key, "_stretch"], "left").withColumns(found)
-    return joined.drop("_stretch", *inside, *[f"_carry{c}" for c in inside])
+    joined = rows.join(carried, [key, _STRETCH], "left").withColumns(found)
+    return joined.drop(_STRETCH, *[f"_{side}_{name}" for side in ("in", "out") for name in wanted])
+
+
+def _before(*keys: str) -> WindowSpec:
+    return Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _last(name: str, window: WindowSpec) -> Column:
+    return F.last(f"_in_{name}", ignorenulls=True).over(window)

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.functions.columns import alert_id, filled, is_active
+from fleetwatch.functions.columns import alert_id, filled, is_active, micros
 from fleetwatch.functions.timeline import STRETCH_SECONDS, nearest
 from fleetwatch.operators.rules import decision, enabled_rules, evaluate, match_rules
 from fleetwatch.schemas import ALERTS
@@ -75,70 +75,12 @@ def _carried(initial_alerts: DataFrame) -> DataFrame:
     """One row per rule that starts out with an active alert, placed before all others."""
     return (
         initial_alerts.where(is_active(F.col("status")))
-        .groupBy(F.lower("alert_rule_id").alias("alert_rule_id"))
-        .agg(F.bool_and(F.col("status") == "acknowledged").alias("acknowledged"))
+        .select(F.lower("alert_rule_id").alias("alert_rule_id"))
+        .distinct()
         .withColumns({"kind": F.lit("carried"), "breached": F.lit(True)})
     )
 
 
-def alert_transitions(
-    telemetry: DataFrame,
-    rules: DataFrame,
-    initial_alerts: DataFrame | None = None,
-    seconds: int = STRETCH_SECONDS,
-) -> DataFrame:
-    """Every create and auto-resolve of a history.
-
-    After a reading a rule is active exactly when that reading broke it. So the sequential state
-    machine is an edge detector: compare each reading with the one before it.
-    """
-    edges = _edges(telemetry, rules, initial_alerts, seconds)
-    return edges.where(F.col("decision") != "carried").select(
-        "alert_rule_id", "device_id", "severity", "received_at", "seq", "value", "decision"
-    )
-
-
-def _edges(telemetry, rules, initial_alerts, seconds) -> DataFrame:
-    rows = _readings(telemetry, rules)
-    if initial_alerts is not None:
-        rows = rows.unionByName(_carried(initial_alerts).drop("acknowledged"), allowMissingColumns=True)
-    rows = nearest(rows, "alert_rule_id", _ORDER, {"_was": F.col("breached")}, seconds)
-    change = F.when(F.col("kind") == "carried", "carried").otherwise(
-        decision(F.col("breached"), F.coalesce(F.col("_was"), F.lit(False)))
-    )
-    return rows.withColumn("decision", change).where(F.col("decision").isNotNull()).drop("_was", "breached", "kind")
-
-
-def replay_alerts(
-    telemetry: DataFrame,
-    rules: DataFrame,
-    initial_alerts: DataFrame | None = None,
-    seconds: int = STRETCH_SECONDS,
-) -> DataFrame:
-    """The alert table after a history of readings: when each alert opened and when it cleared."""
-    edges = _edges(telemetry, rules, initial_alerts, seconds)
-    # Edges of a rule alternate, so an alert ends at the next edge.
-    ended = nearest(edges, "alert_rule_id", _ORDER, {"_end": F.col("received_at")}, seconds, later=True)
-    fresh = ended.where(F.col("decision") == "create")
-    alerts = _as_alerts(
-        fresh,
-        id=alert_id(F.col("alert_rule_id"), F.col("received_at"), F.col("seq")),
-        alert_rule_id=F.col("alert_rule_id"),
-        device_id=F.col("device_id"),
-        triggered_value=F.col("value"),
-        severity=F.col("severity"),
-        status=F.when(F.col("_end").isNull(), "open").otherwise("resolved"),
-        triggered_at=F.col("received_at"),
-        resolved_at=F.col("_end"),
-    )
-    if initial_alerts is None:
-        return alerts
-    cleared = ended.where(F.col("decision") == "carried").select(
-        "alert_rule_id", F.lit("auto_resolve").alias("decision"), F.col("_end").alias("received_at")
-    )
-    return auto_resolve(initial_alerts, cleared.where(F.col("received_at").isNotNull())).unionByName(alerts)
-
-
 def _commands(commands: DataFrame, users: DataFrame | None) -> DataFrame:
     """Commands as timeline rows, each marked when it cannot take effect for lack of a valid user."""
     rows = commands.select(
@@ -148,7 +90,9 @@ def _commands(commands: DataFrame, users: DataFrame | None) -> DataFrame:
         F.col("cmd_id").alias("seq"),
         F.col("action").alias("kind"),
         F.lower("user_id").alias("user_id"),
-        F.when(~filled(F.col("user_id")), "bad_request").alias("refusal"),
+        F.when(
+            ~filled(F.col("user_id")) | ~F.col("action").isin("acknowledge", "resolve"), "bad_request"
+        ).alias("refusal"),
     )
     if users is None:
         return rows
@@ -157,32 +101,37 @@ def _commands(commands: DataFrame, users: DataFrame | None) -> DataFrame:
     return rows.join(known, "user_id", "left").withColumn("refusal", stranger).drop("_known")
 
 
-def replay_with_commands(
-    telemetry: DataFrame,
-    rules: DataFrame,
-    commands: DataFrame,
-    initial_alerts: DataFrame | None = None,
-    users: DataFrame | None = None,
-    seconds: int = STRETCH_SECONDS,
-) -> tuple[DataFrame, DataFrame]:
-    """Readings and people's commands on one timeline: the alert table and an outcome per command.
+def _timeline(
+    readings: DataFrame, initial_alerts: DataFrame | None, seconds: int, commands: DataFrame | None = None
+) -> DataFrame:
+    """Adds to each row whether the rule was active before it, what follows, and what it causes.
 
-    A command addresses the active alert of its rule. Resolving while the reading still breaks the
-    rule lets the next such reading open a new alert.
+    After a reading, a rule is active exactly when that reading broke it; after a valid resolve it
+    is not; an acknowledge changes nothing. So the state before a row, the end of an alert and its
+    acknowledgement are each the nearest row of some kind: the sequential state machine needs no
+    sequential pass. `cut` is the last row that left the rule inactive; the rows of one alert share
+    it.
     """
-    rows = _readings(telemetry, rules).unionByName(_commands(commands, users), allowMissingColumns=True)
+    rows = readings if commands is None else readings.unionByName(commands, allowMissingColumns=True)
     if initial_alerts is not None:
         rows = rows.unionByName(_carried(initial_alerts), allowMissingColumns=True)
-    else:
-        rows = rows.withColumn("acknowledged", F.lit(False))
+    for absent in {"user_id", "refusal"} - set(rows.columns):
+        rows = rows.withColumn(absent, F.lit(None).cast("string"))
 
     kind, works = F.col("kind"), F.col("refusal").isNull()
-    # Active after the row: as the reading says; not after a resolve; unchanged by an acknowledge.
     after = F.when(kind.isin("reading", "carried"), F.col("breached")).when(
         (kind == "resolve") & works, F.lit(False)
     )
-    rows = nearest(rows, "alert_rule_id", _ORDER, {"_was": after}, seconds)
-    was = F.coalesce(F.col("_was"), F.lit(False))
+    place, actor = F.struct(*_ORDER), F.struct(*_ORDER, "user_id")
+    earlier, later = {"was": after}, {"end": F.when(~after, actor)}
+    if commands is not None:
+        earlier["cut"] = F.when(~after, place)
+        later["ack"] = F.when((kind == "acknowledge") & works, actor)
+    rows = nearest(rows, "alert_rule_id", _ORDER, earlier, later, seconds)
+    if commands is None:
+        rows = rows.withColumn("ack", F.lit(None).cast(rows.schema["end"].dataType))
+
+    was = F.coalesce("was", F.lit(False))
     event = (
         F.when(kind == "reading", decision(F.col("breached"), was))
         .when(kind == "carried", kind)
@@ -191,40 +140,58 @@ def replay_with_commands(
         .when(works, kind)
         .otherwise(F.col("refusal"))
     )
-    # Readings that change nothing are dropped here, before anything else is shuffled.
-    rows = rows.withColumn("event", event).where(F.col("event").isNotNull()).drop("_was", "breached")
+    in_time = F.col("end").isNull() | (F.col("ack") < F.col("end"))
+    return rows.withColumns({"event": event, "ack": F.when(in_time, F.col("ack"))})
 
-    # An alert's rows share the id under which it was opened.
-    own = F.when(F.col("event") == "create", alert_id(F.col("alert_rule_id"), F.col("received_at"), F.col("seq"))).when(
-        F.col("event") == "carried", F.lit("carried")
-    )
-    rows = nearest(rows, "alert_rule_id", _ORDER, {"_open": own}, seconds)
-    rows = rows.withColumn("alert", F.coalesce(own, F.col("_open"))).drop("_open")
 
-    place = F.struct("received_at", "rank", "seq", "user_id")
-    ends = F.col("event").isin("resolve", "auto_resolve")
-    alerts = (
-        rows.where(F.col("event").isin("create", "carried", "acknowledge", "resolve", "auto_resolve"))
-        .groupBy("alert_rule_id", "alert")
-        .agg(
-            F.max(
-                F.when(F.col("event") == "create", F.struct("received_at", "device_id", "severity", "value"))
-            ).alias("opened"),
-            F.coalesce(F.max("acknowledged"), F.lit(False)).alias("acknowledged"),
-            F.min(F.when(F.col("event") == "acknowledge", place)).alias("ack"),
-            F.min(F.when(ends, place)).alias("end"),
-        )
-        .withColumn("ack", F.when(~F.col("acknowledged"), F.col("ack")))
+def alert_transitions(
+    telemetry: DataFrame,
+    rules: DataFrame,
+    initial_alerts: DataFrame | None = None,
+    seconds: int = STRETCH_SECONDS,
+) -> DataFrame:
+    """Every create and auto-resolve of a history."""
+    rows = _timeline(_readings(telemetry, rules), initial_alerts, seconds)
+    return rows.where(F.col("event").isin("create", "auto_resolve")).select(
+        "alert_rule_id", "device_id", "severity", "received_at", "seq", "value", F.col("event").alias("decision")
     )
 
-    opened = alerts.where(F.col("alert") != "carried").withColumn("received_at", F.col("opened.received_at"))
-    result = _as_alerts(
-        opened,
-        id=F.col("alert"),
+
+def replay_alerts(
+    telemetry: DataFrame,
+    rules: DataFrame,
+    initial_alerts: DataFrame | None = None,
+    seconds: int = STRETCH_SECONDS,
+) -> DataFrame:
+    """The alert table after a history of readings: when each alert opened and when it cleared."""
+    return _alerts(_timeline(_readings(telemetry, rules), initial_alerts, seconds), initial_alerts)
+
+
+def replay_with_commands(
+    telemetry: DataFrame,
+    rules: DataFrame,
+    commands: DataFrame,
+    initial_alerts: DataFrame | None = None,
+    users: DataFrame | None = None,
+    seconds: int = STRETCH_SECONDS,
+) -> tuple[DataFrame, DataFrame]:
+    """Readings and people's commands on one timeline: the alert table and an outcome per command.
+
+    A command addresses the active alert of its rule. Resolving while the reading still breaks the
+    rule lets the next such reading open a new alert.
+    """
+    rows = _timeline(_readings(telemetry, rules), initial_alerts, seconds, _commands(commands, users))
+    return _alerts(rows, initial_alerts), _outcomes(rows, initial_alerts)
+
+
+def _alerts(rows: DataFrame, initial_alerts: DataFrame | None) -> DataFrame:
+    fresh = _as_alerts(
+        rows.where(F.col("event") == "create"),
+        id=alert_id(F.col("alert_rule_id"), F.col("received_at"), F.col("seq")),
         alert_rule_id=F.col("alert_rule_id"),
-        device_id=F.col("opened.device_id"),
-        triggered_value=F.col("opened.value"),
-        severity=F.col("opened.severity"),
+        device_id=F.col("device_id"),
+        triggered_value=F.col("value"),
+        severity=F.col("severity"),
         status=F.when(F.col("end").isNotNull(), "resolved")
         .when(F.col("ack").isNotNull(), "acknowledged")
         .otherwise("open"),
@@ -234,38 +201,14 @@ def replay_with_commands(
         resolved_at=F.col("end.received_at"),
         resolved_by=F.col("end.user_id"),
     )
-    if initial_alerts is not None:
-        result = _continue_carried(initial_alerts, alerts).unionByName(result)
-
-    first_ack = alerts.select("alert_rule_id", "alert", F.col("ack.rank").alias("_rank"), F.col("ack.seq").alias("_seq"))
-    outcome = (
-        F.when(F.col("event") == "resolve", "ok")
-        .when(F.col("event") == "acknowledge", F.when(F.col("_seq") == F.col("seq"), "ok").otherwise("conflict"))
-        .otherwise(F.col("event"))
-    )
-    outcomes = (
-        rows.where(F.col("rank") == _COMMAND)
-        .join(first_ack, ["alert_rule_id", "alert"], "left")
-        .select(
-            F.col("seq").alias("cmd_id"),
-            F.col("received_at").alias("cmd_ts"),
-            F.col("kind").alias("action"),
-            "alert_rule_id",
-            outcome.alias("outcome"),
-        )
-    )
-    return result, outcomes
-
-
-def _continue_carried(initial_alerts: DataFrame, alerts: DataFrame) -> DataFrame:
-    """What happened to the alerts that were active from the start."""
-    changes = alerts.where(F.col("alert") == "carried").select(
+    if initial_alerts is None:
+        return fresh
+    changes = rows.where(F.col("event") == "carried").select(
         F.col("alert_rule_id").alias("_rule"), F.col("ack").alias("_ack"), F.col("end").alias("_end")
     )
-    active = is_active(F.col("status"))
     acked = (F.col("status") == "open") & F.col("_ack").isNotNull()
-    ended = active & F.col("_end").isNotNull()
-    return (
+    ended = is_active(F.col("status")) & F.col("_end").isNotNull()
+    continued = (
         initial_alerts.join(changes, F.lower("alert_rule_id") == F.col("_rule"), "left")
         .withColumns(
             {
@@ -278,3 +221,38 @@ def _continue_carried(initial_alerts: DataFrame, alerts: DataFrame) -> DataFrame
         )
         .drop("_rule", "_ack", "_end")
     )
+    return continued.unionByName(fresh)
+
+
+def _outcomes(rows: DataFrame, initial_alerts: DataFrame | None) -> DataFrame:
+    """A resolve that meets an active alert succeeds; of an alert's acknowledges only the first."""
+    cut = F.concat_ws("|", micros(F.col("cut.received_at")), "cut.rank", "cut.seq")
+    commands = rows.where(F.col("rank") == _COMMAND).withColumn("cut", cut)
+    place = F.struct("received_at", "seq")
+    firsts = (
+        commands.where(F.col("event") == "acknowledge")
+        .groupBy("alert_rule_id", "cut")
+        .agg(F.min(place).alias("_first"))
+    )
+    if initial_alerts is not None:
+        # An alert acknowledged before the start cannot be acknowledged again.
+        taken = (
+            initial_alerts.where(is_active(F.col("status")))
+            .groupBy(F.lower("alert_rule_id").alias("alert_rule_id"))
+            .agg(F.bool_and(F.col("status") == "acknowledged").alias("_taken"))
+            .withColumn("cut", F.lit(""))
+        )
+        firsts = firsts.join(taken, ["alert_rule_id", "cut"], "left").where(
+            ~F.coalesce("_taken", F.lit(False))
+        )
+    first = F.coalesce(F.col("_first") == place, F.lit(False))
+    outcome = F.when(
+        F.col("event") == "acknowledge", F.when(first, "ok").otherwise("conflict")
+    ).otherwise(F.when(F.col("event") == "resolve", "ok").otherwise(F.col("event")))
+    return commands.join(firsts.select("alert_rule_id", "cut", "_first"), ["alert_rule_id", "cut"], "left").select(
+        F.col("seq").alias("cmd_id"),
+        F.col("received_at").alias("cmd_ts"),
+        F.col("kind").alias("action"),
+        "alert_rule_id",
+        outcome.alias("outcome"),
+    )

@@ -10,15 +10,20 @@ within all stretches follow independently. No task holds more than one stretch o
 device, or reads more than one summary per block of it.
 """
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatch.functions.columns import micros
 
+# The functions below travel with the tasks, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 GAP_SECONDS = 60
 # Lengths of a stretch and of a block of stretches, in gaps.
 STRETCH_GAPS, BLOCK_GAPS = 10, 1440

@@ -85,7 +85,7 @@ _VIEWS = {
     "v_damage": """
     SELECT *, CASE WHEN seq % 10 = 0 THEN seq % 100 // 10 END AS kind FROM v_telemetry""",
     "v_parsed": """
-    SELECT * EXCLUDE (value), CASE WHEN kind = 8 THEN 0 ELSE value END AS value,
+    SELECT * EXCLUDE (value), value AS sent, CASE WHEN kind = 8 THEN 0 ELSE value END AS value,
            CASE WHEN kind = 0 THEN 'bad_topic' WHEN kind IN (1, 5, 6, 7) THEN 'invalid_json'
                 WHEN kind IN (2, 9) THEN 'missing_field' WHEN kind = 3 THEN 'empty_readings'
                 WHEN kind = 4 THEN 'id_mismatch' END AS reject_reason
@@ -291,7 +291,13 @@ _CONTRACT_ROWS = ", ".join(f"('{t}', '{','.join(sorted(keys))}')" for t, keys in
 _BOUND_ROWS = ", ".join(f"('{m}', {lo}, {hi})" for m, (lo, hi) in q.BOUNDS.items())
 
 _BODIES = {
-    "src_messages": "SELECT topic, received_at, seq FROM v_topics",
+    "src_messages": f"""SELECT topic, received_at, seq, sha256(CASE WHEN kind = 9 THEN 'null' ELSE
+        CASE WHEN kind = 7 THEN '[' ELSE '' END || '{{"device_id":"' || CASE WHEN kind = 2 THEN '' ELSE device_id END
+        || '","site_id":"' || site_id || '","device_type":"' || device_type || '","readings":{{' || CASE WHEN kind = 3
+        THEN '' ELSE '"' || metric || '":' || CASE kind WHEN 5 THEN '"high"' WHEN 8 THEN 'null'
+        ELSE CAST(sent AS VARCHAR) END END || '}},"ts":"' || strftime(ts, '%Y-%m-%d')
+        || CASE WHEN kind = 6 THEN ' ' ELSE 'T' END || strftime(ts, '%H:%M:%S.%fZ') || '"}}'
+        || CASE kind WHEN 1 THEN ' tail' WHEN 7 THEN ']' ELSE '' END END) AS payload_hash FROM v_topics""",
     "encode_messages": f"""SELECT '{TOPIC_ROOT}/' || site_id || '/' || device_id || '/telemetry' AS topic, device_id,
         site_id, device_type, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS ts_text, metric, value, received_at, seq
         FROM v_telemetry""",
@@ -350,13 +356,13 @@ _BODIES = {
     ),
     "last_seen_writes": ("v_w AS (" + _FIRST_WRITE + " SELECT * FROM v_writes WHERE written_at IS NOT NULL)", "SELECT * FROM v_w"),
     "device_last_seen": (
-        "v_w AS (" + _FIRST_WRITE + " SELECT device_id, max(written_at) AS at FROM v_writes GROUP BY device_id)",
-        "SELECT id, name, at AS last_seen_at FROM v_devices LEFT JOIN v_w ON device_id = id",
+        "v_w AS (" + _FIRST_WRITE + " SELECT device_id, max(written_at) AS newest FROM v_writes GROUP BY device_id)",
+        "SELECT id, name, newest AS last_seen_at FROM v_devices LEFT JOIN v_w ON device_id = id",
     ),
     "list_sites": "SELECT id, name, type, coalesce(location, '') AS location FROM v_sites ORDER BY name, id",
     "list_devices": (
-        "v_w AS (" + _FIRST_WRITE + " SELECT device_id, max(written_at) AS at FROM v_writes GROUP BY device_id)",
-        "SELECT id, site_id, name, type, at AS last_seen_at FROM v_devices LEFT JOIN v_w ON device_id = id ORDER BY name, id",
+        "v_w AS (" + _FIRST_WRITE + " SELECT device_id, max(written_at) AS newest FROM v_writes GROUP BY device_id)",
+        "SELECT id, site_id, name, type, newest AS last_seen_at FROM v_devices LEFT JOIN v_w ON device_id = id ORDER BY name, id",
     ),
     "list_devices_by_site": f"""SELECT id, site_id, name, type, last_seen_at FROM v_devices
         WHERE site_id = '{q.SITE}' ORDER BY name, id""",

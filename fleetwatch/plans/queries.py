@@ -79,18 +79,14 @@ def _encode_messages(v: Views) -> DataFrame:
 
 def _src_messages(v: Views) -> DataFrame:
     folder = scratch_path(v.spark, "messages")
-    v.messages.select(*_message_columns()).write.json(folder)
-    return _plain(S.read_messages(v.spark, folder)).drop("payload").select("topic", "received_at", "seq")
-
-
-def _message_columns():
-    return ["topic", "payload", F.col("received_at").cast("timestamp").alias("received_at"), "seq"]
+    S.write_messages(v.messages, folder)
+    return S.read_messages(v.spark, folder).select("topic", F.sha2("payload", 256).alias("payload_hash"), "received_at", "seq")
 
 
 def _telemetry_raw(v: Views) -> DataFrame:
     """Messages followed as a stream, parsed and appended."""
     source, target, checkpoint = (scratch_path(v.spark, n) for n in ("messages", "telemetry", "checkpoint"))
-    v.messages.select(*_message_columns()).write.json(source)
+    S.write_messages(v.messages, source)
     stream = S.read_messages(v.spark, source, streaming=True)
     accepted = I.accepted(I.parse_messages(stream, TOPIC_ROOT))
     T.write_telemetry(accepted, target, checkpoint, once=True).awaitTermination()
@@ -107,14 +103,11 @@ def _alert_stream(v: Views) -> DataFrame:
     """The history arrives in four parts; each resumes the stream where the one before ended."""
     source, root, checkpoint = (scratch_path(v.spark, n) for n in ("messages", "alerts", "checkpoint"))
     store = E.AlertStore(root)
-    arrivals = v.messages.select(*_message_columns())
-    span = arrivals.agg(F.min("received_at").alias("a"), F.max("received_at").alias("b")).first()
-    cuts = [span.a + (span.b - span.a) * part / 4 for part in range(1, 4)]
-    part = F.lit(0)
-    for cut in cuts:
-        part = part + (F.col("received_at") >= F.lit(cut)).cast("int")
+    first, last = v.messages.agg(F.min("received_at"), F.max("received_at")).first()
     for number in range(4):
-        arrivals.where(part == number).write.mode("append").json(source)
+        since = F.col("received_at") >= F.lit(first + (last - first) * number / 4)
+        until = F.lit(number == 3) | (F.col("received_at") < F.lit(first + (last - first) * (number + 1) / 4))
+        S.write_messages(v.messages.where(since & until), source)
         stream = S.read_messages(v.spark, source, streaming=True)
         E.run_alert_stream(stream, store, checkpoint, TOPIC_ROOT, lambda: v.rules, once=True).awaitTermination()
     return _plain(E.current_alerts(v.spark, store)).select(*_ALERT_FACTS)

@@ -184,7 +184,7 @@ class Views:
         )
         return self.earlier_alerts.withColumn("n", F.explode(F.array(*[F.lit(i) for i in range(3)]))).select(
             (opened * 3 + F.col("n")).alias("cmd_id"),
-            (F.col("triggered_at") + F.make_dt_interval(hours=1)).alias("cmd_ts"),
+            (F.col("triggered_at") + F.make_dt_interval(hours=F.lit(1))).alias("cmd_ts"),
             F.when((opened + F.col("n") * F.col("n")) % 3 == 0, "resolve").otherwise("acknowledge").alias("action"),
             F.when((opened + F.col("n")) % 19 == 0, F.concat(F.lit("0"), F.substring("id", 2, 40)))
             .otherwise(F.col("id"))

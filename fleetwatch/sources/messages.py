@@ -14,6 +14,13 @@ def read_messages(spark: SparkSession, path: str, streaming: bool = False, max_f
     return reader.json(path)
 
 
+def write_messages(messages: DataFrame, path: str) -> None:
+    """Appends messages as JSON lines; times keep their microseconds."""
+    messages.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MESSAGES]).write.mode("append").option(
+        "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    ).json(path)
+
+
 def from_kafka(records: DataFrame) -> DataFrame:
     """Messages out of Kafka records whose key is the device topic."""
     return records.select(

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetwatch import schemas
 from fleetwatch.functions.columns import is_active
-from fleetwatch.operators.alerts import replay_with_commands
+from fleetwatch.operators.alerts import replay_alerts, replay_with_commands
 from fleetwatch.operators.ingest import accepted, parse_messages, rejects
 from fleetwatch.operators.liveness import last_written
 
@@ -142,10 +142,11 @@ def process_batch(
     newest = seen.unionByName(last_written(telemetry, seen)).groupBy("device_id")
     store.write(newest.agg(F.max("written_at").alias("written_at")), "last_seen", number)
 
-    commands = spark.createDataFrame([], schemas.RULE_COMMANDS)
-    if "cmd_id" in rows.columns:
-        commands = rows.where(F.col("cmd_id").isNotNull()).select(*schemas.RULE_COMMANDS.names)
     active = store.before(spark, "alerts", number).where(is_active(F.col("status")))
+    if "cmd_id" not in rows.columns:
+        store.write(replay_alerts(telemetry, rules, active), "alerts", number)
+        return
+    commands = rows.where(F.col("cmd_id").isNotNull()).select(*schemas.RULE_COMMANDS.names)
     alerts, outcomes = replay_with_commands(telemetry, rules, commands, active, users)
     store.write(alerts, "alerts", number)
     store.write(outcomes, "outcomes", number)
