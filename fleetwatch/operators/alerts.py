@@ -229,10 +229,8 @@ def _outcomes(rows: DataFrame, initial_alerts: DataFrame | None) -> DataFrame:
     cut = F.concat_ws("|", micros(F.col("cut.received_at")), "cut.rank", "cut.seq")
     commands = rows.where(F.col("rank") == _COMMAND).withColumn("cut", cut)
     place = F.struct("received_at", "seq")
-    firsts = (
-        commands.where(F.col("event") == "acknowledge")
-        .groupBy("alert_rule_id", "cut")
-        .agg(F.min(place).alias("_first"))
+    acks = commands.where(F.col("event") == "acknowledge").select(
+        "alert_rule_id", "cut", place.alias("_first"), F.lit(False).alias("_taken")
     )
     if initial_alerts is not None:
         # An alert acknowledged before the start cannot be acknowledged again.
@@ -242,14 +240,18 @@ def _outcomes(rows: DataFrame, initial_alerts: DataFrame | None) -> DataFrame:
             .agg(F.bool_and(F.col("status") == "acknowledged").alias("_taken"))
             .withColumn("cut", F.lit(""))
         )
-        firsts = firsts.join(taken, ["alert_rule_id", "cut"], "left").where(
-            ~F.coalesce("_taken", F.lit(False))
-        )
-    first = F.coalesce(F.col("_first") == place, F.lit(False))
-    outcome = F.when(
-        F.col("event") == "acknowledge", F.when(first, "ok").otherwise("conflict")
-    ).otherwise(F.when(F.col("event") == "resolve", "ok").otherwise(F.col("event")))
-    return commands.join(firsts.select("alert_rule_id", "cut", "_first"), ["alert_rule_id", "cut"], "left").select(
+        acks = acks.unionByName(taken, allowMissingColumns=True)
+    firsts = acks.groupBy("alert_rule_id", "cut").agg(
+        F.min("_first").alias("_first"), F.bool_or("_taken").alias("_taken")
+    )
+    is_late = F.coalesce("_taken", F.lit(False)) | F.coalesce(F.col("_first") < place, F.lit(False))
+    # The state is checked before the user, as far as the outcome goes.
+    outcome = (
+        F.when((F.col("kind") == "acknowledge") & F.col("event").isin("acknowledge", "invalid_user") & is_late, "conflict")
+        .when(F.col("event") == F.col("kind"), "ok")
+        .otherwise(F.col("event"))
+    )
+    return commands.join(firsts, ["alert_rule_id", "cut"], "left").select(
         F.col("seq").alias("cmd_id"),
         F.col("received_at").alias("cmd_ts"),
         F.col("kind").alias("action"),
