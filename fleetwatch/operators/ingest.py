@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fleetwatch.functions.columns import filled, rfc3339
 
 _FIELDS = "struct<device_id: variant, site_id: variant, device_type: variant, readings: variant, ts: variant>"
+_TEXTS = "struct<device_id: string, site_id: string, device_type: string, ts: string>"
 _IDS = ["device_id", "site_id", "device_type"]
 
 
@@ -41,7 +42,7 @@ def _decode(messages: DataFrame) -> DataFrame:
     kept = {c: F.col(f"_fields.{c}") for c in [*_IDS, "readings", "ts"]}
     year_one = F.lit("0001-01-01 00:00:00").cast("timestamp")
     ts = F.when(_nothing(kept["ts"]), year_one).when(
-        _kind(kept["ts"]) == "STRING", rfc3339(F.try_variant_get(kept["ts"], "$", "string"))
+        _kind(kept["ts"]) == "STRING", rfc3339(F.col("_texts.ts"))
     )
     fit = F.col("_ts").isNotNull() & (
         _nothing(kept["readings"])
@@ -50,7 +51,7 @@ def _decode(messages: DataFrame) -> DataFrame:
     for c in _IDS:
         fit = fit & _kind(kept[c]).isin("STRING", "VOID")
     message = F.struct(
-        *[F.coalesce(F.try_variant_get(kept[c], "$", "string"), F.lit("")).alias(c) for c in _IDS],
+        *[F.coalesce(F.col(f"_texts.{c}"), F.lit("")).alias(c) for c in _IDS],
         F.col("_readings").alias("readings"),
         F.col("_ts").alias("ts"),
     )
@@ -62,8 +63,14 @@ def _decode(messages: DataFrame) -> DataFrame:
     )
     return (
         messages.withColumn("_listed", listed)
-        .withColumn("_root", F.when(strict, F.try_variant_get("_listed", "$[0]", "variant")))
-        .withColumn("_fields", F.try_variant_get("_root", "$", _FIELDS))
+        .withColumns(
+            {
+                "_strict": strict,
+                "_bare": F.is_variant_null(F.try_variant_get("_listed", "$[0]", "variant")),
+                "_fields": F.try_variant_get("_listed", "$[0]", _FIELDS),
+                "_texts": F.try_variant_get("_listed", "$[0]", _TEXTS),
+            }
+        )
         .withColumns(
             {
                 # A null reading decodes to zero, so it can break a lower bound.
@@ -75,7 +82,10 @@ def _decode(messages: DataFrame) -> DataFrame:
         )
         .withColumn(
             "_message",
-            F.when(F.is_variant_null("_root"), bare).when(F.col("_fields").isNotNull() & fit, message),
+            F.when(
+                F.col("_strict"),
+                F.when(F.col("_bare"), bare).when(F.col("_fields").isNotNull() & fit, message),
+            ),
         )
     )
 
