@@ -26,10 +26,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 GAP_SECONDS = 60
 # Lengths of a stretch and of a block of stretches, in gaps.
-STRETCH_GAPS, BLOCK_GAPS = 10, 1440
+STRETCH_GAPS, BLOCK_GAPS = 30, 1440
 
-# Stands for "a write is due at once".
+# Stands for "a write is due at once"; and, as the number of a row, for the start of a group.
 _AT_ONCE = -(2**62)
+_HEADER = -(2**62)
 
 _STEPS = "entries array<long>, exits array<long>"
 
@@ -92,7 +93,7 @@ def _stretches(telemetry: DataFrame, carry_in: DataFrame | None, gap_seconds: in
         )
     width = gap_seconds * 1_000_000 * STRETCH_GAPS
     return (
-        rows.withColumn("stretch", F.floor(F.col("at") / F.lit(width)).cast("long"))
+        rows.withColumn("stretch", ((F.col("at") - F.pmod("at", F.lit(width))) / F.lit(width)).cast("long"))
         .groupBy("device_id", "stretch")
         .agg(F.sort_array(F.collect_set("at")).alias("times"))
     )
@@ -140,11 +141,15 @@ def _with_block(steps: DataFrame) -> DataFrame:
     return steps.withColumn("block", F.floor(F.col("stretch") / F.lit(BLOCK_GAPS // STRETCH_GAPS)).cast("long"))
 
 
-def _walk(steps: DataFrame, unit: str, gap_seconds: int, group: str | None = None, start: str | None = None) -> DataFrame:
+def _walk(steps: DataFrame, unit: str, gap_seconds: int, group: str | None = None) -> DataFrame:
     """Follows the step functions of each device (and group) in time order.
 
     Adds `due`, the time from which a write is due when the unit begins, and `last`, the last
-    write when it has passed. The state between rows is one number.
+    write when it has passed. The state between rows is one number. A group may open with a header
+    row, which tells when its first write is due.
+
+    The input must come from a union or a Python function, never straight from a join: only then
+    is the shuffle asked for here really made and kept.
     """
     gap = gap_seconds * 1_000_000
     keys = ["device_id"] + ([group] if group else [])
@@ -154,12 +159,12 @@ def _walk(steps: DataFrame, unit: str, gap_seconds: int, group: str | None = Non
         key, due = None, _AT_ONCE
         for pdf in batches:
             rows = []
-            first = pdf[start] if start else [_AT_ONCE] * len(pdf)
-            for *this, number, begin, entries, exits in zip(
-                *[pdf[k] for k in keys], pdf[unit], first, pdf.entries, pdf.exits
-            ):
+            for *this, number, entries, exits in zip(*[pdf[k] for k in keys], pdf[unit], pdf.entries, pdf.exits):
                 if this != key:
-                    key, due = this, int(begin)
+                    key, due = this, _AT_ONCE
+                if number == _HEADER:
+                    due = int(entries[0])
+                    continue
                 at = int(np.searchsorted(entries, due))
                 last = int(exits[at]) if at < len(exits) else due - gap
                 rows.append((*this, number, due, last))
@@ -170,19 +175,23 @@ def _walk(steps: DataFrame, unit: str, gap_seconds: int, group: str | None = Non
     return (
         steps.repartition(*keys)
         .sortWithinPartitions(*keys, unit)
-        .select(*keys, unit, *([start] if start else []), "entries", "exits")
+        .select(*keys, unit, "entries", "exits")
         .mapInPandas(walk, ", ".join(fields))
     )
 
 
 def _due(steps: DataFrame, gap_seconds: int) -> DataFrame:
     """When the first write of each stretch is due."""
-    blocks = _walk(_blocks(steps, gap_seconds), "block", gap_seconds).select(
-        "device_id", "block", F.col("due").alias("begin")
+    headers = _walk(_blocks(steps, gap_seconds), "block", gap_seconds).select(
+        "device_id",
+        F.lit(_HEADER).alias("stretch"),
+        F.array("due").alias("entries"),
+        F.array().cast("array<long>").alias("exits"),
+        "block",
+    )
+    return _walk(_with_block(steps).unionByName(headers), "stretch", gap_seconds, "block").select(
+        "device_id", "stretch", "due"
     )
-    return _walk(
-        _with_block(steps).join(blocks, ["device_id", "block"]), "stretch", gap_seconds, "block", "begin"
-    ).select("device_id", "stretch", "due")
 
 
 def _flat(times: pd.Series, gap: int):
@@ -239,17 +248,17 @@ def _compose(first, second, gap: int):
 
 def _writes(times: pd.Series, due: np.ndarray, gap: int) -> pd.Series:
     """The written times of each stretch, given from when the first write is due."""
-    at, _, owner, starts, follower = _flat(times, gap)
-    chosen = []
-    for number, t in enumerate(times):
-        place = int(np.searchsorted(t, due[number]))
-        if place < len(t):
-            chosen.append(starts[number] + place)
-    current = np.array(chosen, dtype=np.int64)
+    at, offset, owner, starts, follower = _flat(times, gap)
+    width = gap * STRETCH_GAPS
+    # Where each array's first write is due, on the common scale of all arrays.
+    origin = at[starts] - offset[starts]
+    lanes = np.arange(len(starts)) * (2 * width)
+    first = np.searchsorted(offset + owner * (2 * width), np.clip(due - origin, 0, width) + lanes)
+    bounds = np.append(starts[1:], len(at))
+    current = first[first < bounds]
     written = np.zeros(len(at), dtype=bool)
     while len(current):
         written[current] = True
         current = follower[current]
         current = current[current >= 0]
-    bounds = np.cumsum(times.map(len).to_numpy())[:-1]
-    return pd.Series([t[w] for t, w in zip(np.split(at, bounds), np.split(written, bounds))], index=times.index)
+    return pd.Series([t[w] for t, w in zip(np.split(at, bounds[:-1]), np.split(written, bounds[:-1]))], index=times.index)

@@ -97,3 +97,32 @@ def test_small_arrow_batches(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert got == sorted(((d, t) for d, ts in times.items() for t in loop(ts, timedelta(seconds=60))), key=repr)
+
+
+def test_many_partitions_and_adaptive_joins(spark):
+    """Order within devices must hold whatever joins and shuffles the optimizer settles on."""
+    times = random_times(4)
+    history = spark.createDataFrame([(d, "s", "t", {}, t, t, 0) for d, ts in times.items() for t in ts], schemas.TELEMETRY)
+    want = sorted(((d, t) for d, ts in times.items() for t in loop(ts, timedelta(seconds=60))), key=repr)
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+        # Planned as sort-merge joins, turned into broadcast joins with local reads while running.
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert rows(last_seen_writes(history), "device_id", "written_at") == want
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_every_ordered_pass_has_a_shuffle_of_its_own(spark, capsys):
+    """A repartition that the planner drops in favour of a join's shuffle could lose its order later."""
+    last_seen_writes(seen(spark, [0, 5])).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("REPARTITION_BY_COL") == plan.count("MapInPandas") == 3
