@@ -82,7 +82,8 @@ def _in_time(rows: DataFrame, telemetry: DataFrame) -> DataFrame:
 
 def _stretches(telemetry: DataFrame, carry_in: DataFrame | None, gap_seconds: int) -> DataFrame:
     """Sorted distinct times per device and stretch, in microseconds."""
-    rows = telemetry.select("device_id", micros(F.col("received_at")).alias("at")).where("at IS NOT NULL")
+    rows = telemetry.select("device_id", micros(F.col("received_at")).alias("at"))
+    rows = rows.where("device_id IS NOT NULL AND at IS NOT NULL")
     if carry_in is not None:
         # Nothing is due until a gap after the stored write; from then on it no longer matters.
         stored = carry_in.select("device_id", micros(F.col("written_at")).alias("_stored"))
@@ -94,6 +95,8 @@ def _stretches(telemetry: DataFrame, carry_in: DataFrame | None, gap_seconds: in
     width = gap_seconds * 1_000_000 * STRETCH_GAPS
     return (
         rows.withColumn("stretch", ((F.col("at") - F.pmod("at", F.lit(width))) / F.lit(width)).cast("long"))
+        # The joins to come ask for this too; said here, all uses of the stretches share one shuffle.
+        .where("stretch IS NOT NULL")
         .groupBy("device_id", "stretch")
         .agg(F.sort_array(F.collect_set("at")).alias("times"))
     )
@@ -165,7 +168,7 @@ def _walk(steps: DataFrame, unit: str, gap_seconds: int, group: str | None = Non
                 if number == _HEADER:
                     due = int(entries[0])
                     continue
-                at = int(np.searchsorted(entries, due))
+                at = 0 if due <= entries[0] else int(entries.searchsorted(due))
                 last = int(exits[at]) if at < len(exits) else due - gap
                 rows.append((*this, number, due, last))
                 due = last + gap
@@ -237,6 +240,9 @@ def _step_functions(times: pd.Series, gap: int) -> pd.DataFrame:
 def _compose(first, second, gap: int):
     """The step function of two neighbouring spans, the earlier one given first."""
     (entries, exits), (entries2, exits2) = first, second
+    if exits.max() + gap <= entries2[0]:
+        # After a pause, whatever came before leads to the same write.
+        return entries2[:1], exits2[:1]
     onward = np.searchsorted(entries2, exits + gap)
     through = np.where(onward < len(exits2), exits2[np.minimum(onward, len(exits2) - 1)], exits)
     # A write may also be due only after the earlier span has ended.
