@@ -233,18 +233,23 @@ _FACTS = ", ".join(q._ALERT_FACTS)
 _START, _END = parse_rfc3339(q.FROM), parse_rfc3339(q.TO)
 _POINT = "device_id, metric, value, ts, received_at"
 
+
+def _renamed(every: int, hit: int) -> str:
+    return f"CASE WHEN CAST(id AS BIGINT) % {every} = {hit} THEN 'new-' || id ELSE id END AS id"
+
+
 _DAMAGED = f"""
-    d_sites AS (SELECT * FROM v_sites WHERE CAST(id AS BIGINT) % 9 <> 4),
+    d_sites AS (SELECT * REPLACE ({_renamed(9, 4)}) FROM v_sites),
     d_devices AS (
-        SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 8 <> 5 THEN name END AS name)
-        FROM v_devices WHERE CAST(id AS BIGINT) % 10 <> 3
+        SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 8 <> 5 THEN name END AS name, {_renamed(10, 3)})
+        FROM v_devices
     ),
     d_alert_rules AS (
-        SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 70 <> 0 THEN threshold END AS threshold)
-        FROM v_rules WHERE CAST(id AS BIGINT) % 50 <> 1
+        SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 70 <> 0 THEN threshold END AS threshold, {_renamed(50, 1)})
+        FROM v_rules
     ),
     d_users AS (
-        SELECT * FROM v_users WHERE CAST(id AS BIGINT) % 4 <> 1
+        SELECT * REPLACE ({_renamed(4, 1)}) FROM v_users
         UNION ALL SELECT * FROM v_users WHERE CAST(id AS BIGINT) % 4 = 0
     ),
     v_outcomes AS ({_commands()}),

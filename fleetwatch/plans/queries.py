@@ -161,13 +161,17 @@ def _last_seen(v: Views) -> DataFrame:
 
 
 def _damaged(v: Views) -> C.Tables:
-    """The tables with references cut and values dropped here and there, so that checks find something."""
-    k = F.try_to_number("id", F.lit("999999999999999999")).cast("long")
+    """All rows of the tables, some with a new id, a value lost or a twin, so that checks find something."""
+    k = F.col("id").cast("long")
+    renamed = lambda hit: F.when(hit, F.concat(F.lit("new-"), F.col("id"))).otherwise(F.col("id"))
+    copies = F.sequence(F.lit(1), F.when(k % 4 == 0, 2).otherwise(1))
     return {
-        "sites": v.sites.where(k % 9 != 4),
-        "devices": v.devices.where(k % 10 != 3).withColumn("name", F.when(k % 8 != 5, F.col("name"))),
-        "alert_rules": v.rules.where(k % 50 != 1).withColumn("threshold", F.when(k % 70 != 0, F.col("threshold"))),
-        "users": v.users.where(k % 4 != 1).unionByName(v.users.where(k % 4 == 0)),
+        "sites": v.sites.withColumn("id", renamed(k % 9 == 4)),
+        "devices": v.devices.withColumns({"name": F.when(k % 8 != 5, F.col("name")), "id": renamed(k % 10 == 3)}),
+        "alert_rules": v.rules.withColumns(
+            {"threshold": F.when(k % 70 != 0, F.col("threshold")), "id": renamed(k % 50 == 1)}
+        ),
+        "users": v.users.withColumns({"copy": F.explode(copies), "id": renamed(k % 4 == 1)}).drop("copy"),
         "alerts": _commands(v)[0],
     }
 

@@ -21,6 +21,7 @@ def at(seconds=0.0):
 
 def seed_tables(spark):
     """Two sites, seven devices, three rules, one user, no alerts."""
+    # The seed rows.
     rows = {
         "sites": [
             (SITE_B, "Bangkok Data Center", "data_center", "Bangkok, TH", T0),
