@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwatch.llm import planes, shards
+from fleetwatch.llm import leaks, packing, pii, planes, shards
 from fleetwatch.llm.support import table
 from fleetwatch.llm.tokens import encoder
 from fleetwatch.session import scratch_path
 
 N_SHARDS = 24
+SEQUENCE = 2048
 
 
 def encode_with(name: str):
@@ -27,6 +28,10 @@ def op1_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_digests(chunks).withColumnRenamed("key", "doc_id")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.shard_documents(table(spark, sf_dir, "documents"), N_SHARDS)
     return placed.select(
@@ -34,5 +39,16 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cut = packing.cut_documents(docs, encode_with("byte_bpe_50k.json"), end_id=0, capacity=SEQUENCE)
+    return packing.pack(cut, SEQUENCE).withColumnRenamed("key", "doc_id")
+
+
+def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = leaks.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return report.withColumnRenamed("key", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_planes, op4_shards)}
+    return {f.__name__: f for f in (op1_planes, op3_pii, op4_shards, op5_packing, op9_leaks)}

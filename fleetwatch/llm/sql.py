@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
-OP4 = """
-WITH sized AS (
-  SELECT doc_id, coalesce(strlen(text), 0) + 8 AS size, text FROM documents
-), lined AS (
-  SELECT *, sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total
-  FROM sized
-), placed AS (
-  SELECT *, least(23, CAST(floor(CAST((2 * before + size) * 24 AS DECIMAL(38, 0)) // CAST(2 * total AS DECIMAL(38, 0))) AS INTEGER)) AS shard
-  FROM lined
+OP9 = r"""
+WITH texts AS (
+  SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), d AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), sized AS (
+  SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0
+), pattern AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS p
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized)
+), lengths AS (
+  SELECT DISTINCT n FROM pattern
+), window_of AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS p
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n)
+), hit AS (
+  SELECT DISTINCT doc_id, item_id, i, n FROM window_of JOIN pattern USING (n, p)
+), words AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM hit) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, 'bytes' AS law, shard,
-  row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
-FROM placed
+SELECT d.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_leaks": OP9}
