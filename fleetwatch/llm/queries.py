@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwatch.llm import leaks, packing, pii, planes, shards
+from fleetwatch.llm import leaks, packing, pii, planes, quality, shards
 from fleetwatch.llm.support import table
 from fleetwatch.llm.tokens import encoder
 from fleetwatch.session import scratch_path
@@ -45,10 +45,16 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut, SEQUENCE).withColumnRenamed("key", "doc_id")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model).withColumnRenamed("key", "doc_id")
+
+
 def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = leaks.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return report.withColumnRenamed("key", "doc_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_planes, op3_pii, op4_shards, op5_packing, op9_leaks)}
+    return {f.__name__: f for f in (op1_planes, op3_pii, op4_shards, op5_packing, op7_quality, op9_leaks)}
