@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwatch.llm import leaks, packing, pii, planes, quality, shards
+from fleetwatch.llm import extraction, leaks, packing, pii, planes, quality, shards
 from fleetwatch.llm.support import table
 from fleetwatch.llm.tokens import encoder
 from fleetwatch.session import scratch_path
@@ -28,6 +28,11 @@ def op1_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.token_digests(chunks).withColumnRenamed("key", "doc_id")
 
 
+def op2_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.fit(pages)).withColumnRenamed("key", "page_id")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
@@ -57,4 +62,4 @@ def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_planes, op3_pii, op4_shards, op5_packing, op7_quality, op9_leaks)}
+    return {f.__name__: f for f in (op1_planes, op2_extraction, op3_pii, op4_shards, op5_packing, op7_quality, op9_leaks)}
