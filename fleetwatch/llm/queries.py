@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwatch.llm import extraction, leaks, packing, pii, planes, quality, shards
+from fleetwatch.llm import extraction, leaks, neighbours, packing, pii, planes, quality, shards
 from fleetwatch.llm.support import table
 from fleetwatch.llm.tokens import encoder
 from fleetwatch.session import scratch_path
@@ -56,10 +56,15 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model).withColumnRenamed("key", "doc_id")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = leaks.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return report.withColumnRenamed("key", "doc_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_planes, op2_extraction, op3_pii, op4_shards, op5_packing, op7_quality, op9_leaks)}
+    return {f.__name__: f for f in (op1_planes, op2_extraction, op3_pii, op4_shards, op5_packing, op7_quality, op8_neighbours, op9_leaks)}
