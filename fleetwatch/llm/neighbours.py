@@ -151,7 +151,7 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20, key: st
     data = packs.select(*fields, deal("block", blocks), spread("group", groups))
     asked = packs.where("n_asks > 0").select(*fields, deal("group", groups), spread("block", blocks))
 
-    def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def search(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         dim = key[0].as_py()
         ids, at, _, x = _unpack(left, dim)
         query_ids, query_at, asks, q = _unpack(right, dim)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwatch.llm import extraction, leaks, neighbours, packing, pii, planes, quality, shards
+from fleetwatch.llm import extraction, jaccard, leaks, neighbours, packing, pii, planes, quality, shards
 from fleetwatch.llm.support import table
 from fleetwatch.llm.tokens import encoder
 from fleetwatch.session import scratch_path
@@ -50,6 +50,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut, SEQUENCE).withColumnRenamed("key", "doc_id")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar_documents(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
@@ -67,4 +72,4 @@ def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_planes, op2_extraction, op3_pii, op4_shards, op5_packing, op7_quality, op8_neighbours, op9_leaks)}
+    return {f.__name__: f for f in (op1_planes, op2_extraction, op3_pii, op4_shards, op5_packing, op6_jaccard, op7_quality, op8_neighbours, op9_leaks)}
