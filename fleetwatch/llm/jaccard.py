@@ -135,12 +135,12 @@ def make_filter(classes: DataFrame, name: str) -> Filter:
     return Filter({r["segment"]: r["bits"] for r in marked.groupBy("segment").applyInArrow(segment, "segment int, bits binary").toLocalIterator()})
 
 
-_SIGNED = "kind int, key long, cls long, n long, keys array<bigint>, bucket int, blob binary"
+_SIGNED = "kind int, key long, same long, cls long, n long, keys array<bigint>, bucket int, blob binary"
 
 
 def _sign(n_buckets: int):
     """One row per document with its class, and counts of shingles that several classes of a chunk hold."""
-    types = {"kind": pa.int32(), "key": pa.int64(), "cls": pa.int64(), "n": pa.int64(), "keys": pa.list_(pa.int64()), "bucket": pa.int32(), "blob": pa.binary()}
+    types = {"kind": pa.int32(), "key": pa.int64(), "same": pa.int64(), "cls": pa.int64(), "n": pa.int64(), "keys": pa.list_(pa.int64()), "bucket": pa.int32(), "blob": pa.binary()}
 
     def rows(found: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in found], t) for c, t in types.items()], names=list(types))
@@ -157,9 +157,9 @@ def _sign(n_buckets: int):
         seen, held, size = set(), [], 0
         for batch in pieces(batches):
             found = []
-            for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, same, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 shingles = shingle_set(text)
-                row = {"kind": 0, "key": key, "n": len(shingles)}
+                row = {"kind": 0, "key": key, "same": same, "n": len(shingles)}
                 if len(shingles):
                     row["cls"] = class_id(shingles)
                     row["keys"] = sketch(shingles)
@@ -383,16 +383,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_shingles, cls (equal for equal sets) and component_id (smallest key reachable by links) of every row.
+    """key, same (hash of the text), n_shingles, cls (equal for equal sets) and component_id (smallest key reachable by links) of every row.
 
     Rows without words have an empty set, no class and their own key as component. Repeated rows are copies. A null key
     takes part, but is a component's id only if no row in it has a key. Other columns are not read.
     """
     spark = docs.sparkSession
     share, n_buckets = spark.sparkContext.broadcast, 2 * partitions(spark)
-    texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("body"))
+    body = F.col(text).cast("string")
+    texts = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(body).alias("same"), body.alias("body"))
     signed = stored(texts.mapInArrow(_sign(n_buckets), _SIGNED), "signed")
-    rows = signed.where("kind = 0").select("key", "cls", "n", "keys")
+    rows = signed.where("kind = 0").select("key", "same", "cls", "n", "keys")
     totals = signed.agg(F.sum(F.when(F.col("kind") == 2, 1).otherwise(0)).alias("chunks"), F.sum("n").alias("tokens")).first()
     chunks, tokens = totals["chunks"] or 0, totals["tokens"] or 0
     known = _frequent(signed.where("kind = 1"), chunks, max(FREQUENT, 2 * chunks, math.ceil(tokens / 1e6)))  # 2e6 at most
@@ -424,7 +425,20 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     roots = stored(roots.join(second, "comp", "left").select("cls", "least", F.coalesce("whole", "comp").alias("root")), "roots")
     ids = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     named = roots.join(ids, "root").select("cls", "component_id")
-    return rows.join(named, "cls", "left").select("key", F.col("n").alias("n_shingles"), "cls", F.when(F.col("cls").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+    return rows.join(named, "cls", "left").select("key", "same", F.col("n").alias("n_shingles"), "cls", F.when(F.col("cls").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with one document of each component, that of the smallest key; documents without words all stay.
+
+    Rows that repeat both key and text are one document. All columns, whatever their names, stay as they are.
+    """
+    found = similar_documents(docs, key, text)
+    kept = found.where("cls IS NOT NULL").groupBy("component_id").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "same")).alias("x")).select("x.key", "x.same")
+    kept = kept.union(found.where("cls IS NULL").select("key", "same")).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text).cast("string")).alias("s"))
+    rows = rows.join(kept, F.col("k").eqNullSafe(F.col("key")) & (F.col("s") == F.col("same")), "left_semi")
+    return rows.dropDuplicates(["k", "s"]).select("row.*")
 
 
 def _shared(ranges: DataFrame, sets: DataFrame, known, n_buckets: int) -> np.ndarray:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwatch.llm import extraction, jaccard, leaks, neighbours, packing, pii, planes, quality, shards
+from fleetwatch.llm import extraction, jaccard, leaks, neighbours, packing, passages, pii, planes, quality, shards
 from fleetwatch.llm.support import table
 from fleetwatch.llm.tokens import encoder
 from fleetwatch.session import scratch_path
@@ -71,5 +71,9 @@ def op9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumnRenamed("key", "doc_id")
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_recurring(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_planes, op2_extraction, op3_pii, op4_shards, op5_packing, op6_jaccard, op7_quality, op8_neighbours, op9_leaks)}
+    return {f.__name__: f for f in (op1_planes, op2_extraction, op3_pii, op4_shards, op5_packing, op6_jaccard, op7_quality, op8_neighbours, op9_leaks, op10_passages)}
