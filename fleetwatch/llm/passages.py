@@ -221,7 +221,7 @@ def _scan(routes, n_buckets: int):
                     found.append({"kind": 0, "key": key, "n_words": n, "n_removed": gone, "kept_sha256": digest})
                     continue
                 same = xxhash.xxh3_64_intdigest(utf8(text)) - (1 << 63)
-                found.append({"kind": 1, "key": key, "body": text, "same": same, "size": len(text), "shards": (np.unique(to[to > 0]).astype(np.int32) - 1).tolist()})
+                found.append({"kind": 1, "key": key, "bucket": int(_groups(np.array([key]), n_buckets)[0]), "body": text, "same": same, "size": len(text), "shards": (np.unique(to[to > 0]).astype(np.int32) - 1).tolist()})
                 window = np.unique(stretch_hashes(each, WINDOW)[table[_slots(least)] > 0])
                 hashes.append(window)
                 keys.append(np.full(len(window), key, np.int64))
@@ -236,36 +236,50 @@ def _scan(routes, n_buckets: int):
     return run
 
 
-def _owned(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Windows of a bucket that several documents have, by the smallest document."""
-    rows = np.frombuffer(b"".join(table["blob"].to_pylist()), _SEEN)
-    ends = _ends(rows["hash"], rows["key"])
-    ends = ends[ends["low"] != ends["high"]]
-    order = np.argsort(ends["low"], kind="stable")
-    ends = ends[order]
-    starts = np.flatnonzero(np.r_[True, ends["low"][1:] != ends["low"][:-1]]) if len(ends) else []
-    found = [(int(ends["low"][a]), ends["hash"][a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(ends)], strict=False)]
-    return pa.table({"key": pa.array([k for k, _ in found], pa.int64()), "hashes": pa.array([h for _, h in found], pa.binary())})
+def _groups(keys: np.ndarray, n_groups: int) -> np.ndarray:
+    return (_mix(keys.astype(np.int64).view(np.uint64)) % np.uint64(n_groups)).astype(np.int64)
 
 
-def _cut_passages(routes):
-    """Passages of an owner: words of runs of its windows that recur, once for each shard they have phrases in."""
+def _owned(n_groups: int):
+    """Windows of a bucket that several documents have, with the smallest document, packed by that document's group."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            out: list[list] = [[], [], []]
-            for key, text, blobs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = utf8(text).split()
-                each = word_hashes(words)
-                mine = np.isin(stretch_hashes(each, WINDOW), np.frombuffer(b"".join(blobs), np.uint64))
-                edge = np.flatnonzero(np.diff(np.r_[False, mine, False].astype(np.int8)))
-                for a, b in zip(edge[::2], edge[1::2] + WINDOW - 1, strict=True):
-                    phrases, at, _ = singled_out(each[a:b])
-                    for shard in np.unique(routes.value[_slots(phrases[at])]):
-                        if shard:
-                            for column, value in zip(out, (int(shard) - 1, key, b" ".join(words[a:b])), strict=True):
-                                column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())], names=["shard", "key", "passage"])
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rows = np.frombuffer(b"".join(table["blob"].to_pylist()), _SEEN)
+        ends = _ends(rows["hash"], rows["key"])
+        ends = ends[ends["low"] != ends["high"]]
+        out = np.zeros(len(ends), _SEEN)
+        out["hash"], out["key"] = ends["hash"], ends["low"]
+        group = _groups(out["key"], n_groups)
+        order = np.argsort(group, kind="stable")
+        out, group = out[order], group[order]
+        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(out) else []
+        found = [(int(group[a]), out[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(out)], strict=False)]
+        return pa.table({"bucket": pa.array([g for g, _ in found], pa.int32()), "blob": pa.array([x for _, x in found], pa.binary())})
+
+    return run
+
+
+def _cut_passages(routes):
+    """Passages of the owners in a group: words of runs of windows that recur, once for each shard they have phrases in."""
+
+    def run(key: tuple[pa.Scalar, ...], texts: pa.Table, blobs: pa.Table) -> pa.Table:
+        rows = np.frombuffer(b"".join(blobs["blob"].to_pylist()), _SEEN)
+        rows = rows[np.argsort(rows["key"], kind="stable")]
+        out: list[list] = [[], [], []]
+        for owner, text in zip(texts["key"].to_pylist(), texts["body"].to_pylist(), strict=True):
+            mine = rows["hash"][np.searchsorted(rows["key"], owner) : np.searchsorted(rows["key"], owner, "right")]
+            if not len(mine):
+                continue
+            words = utf8(text).split()
+            each = word_hashes(words)
+            edge = np.flatnonzero(np.diff(np.r_[False, np.isin(stretch_hashes(each, WINDOW), mine), False].astype(np.int8)))
+            for a, b in zip(edge[::2], edge[1::2] + WINDOW - 1, strict=True):
+                phrases, at, _ = singled_out(each[a:b])
+                for shard in np.unique(routes.value[_slots(phrases[at])]):
+                    if shard:
+                        for column, value in zip(out, (int(shard) - 1, owner, b" ".join(words[a:b])), strict=True):
+                            column.append(value)
+        return pa.table({"shard": pa.array(out[0], pa.int32()), "key": pa.array(out[1], pa.int64()), "passage": pa.array(out[2], pa.binary())})
 
     return run
 
@@ -359,14 +373,13 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["key", "n_words", "n_removed", "kept_sha256"])
 
 
-def recurring_spans(scanned: DataFrame, routes) -> DataFrame:
+def recurring_spans(scanned: DataFrame, routes, n_buckets: int) -> DataFrame:
     """key, same (hash of the text) and spans of covered words (begin, end, ...) of documents with any, per shard."""
     spark = scanned.sparkSession
-    texts = scanned.where("kind = 1").select("key", "same", "body", "size", "shards")
-    owned = scanned.where("kind = 2").select("bucket", "blob").groupBy("bucket").applyInArrow(_owned, "key long, hashes binary")
-    owned = owned.groupBy("key").agg(F.collect_list("hashes").alias("hashes"))
-    owners = texts.select("key", "body").join(owned, "key")
-    passages = stored(owners.mapInArrow(_cut_passages(routes), "shard int, key long, passage binary"), "passages")
+    texts = scanned.where("kind = 1").select("bucket", "key", "same", "body", "size", "shards")
+    owned = scanned.where("kind = 2").select("bucket", "blob").groupBy("bucket").applyInArrow(_owned(n_buckets), _BLOBS)
+    owners = texts.select("bucket", "key", "body").groupBy("bucket").cogroup(owned.groupBy("bucket"))
+    passages = stored(owners.applyInArrow(_cut_passages(routes), "shard int, key long, passage binary"), "passages")
     routed = texts.select("key", "same", "size", "body", F.explode("shards").alias("shard"))
     loads = routed.groupBy("shard").agg(F.ceil(F.sum("size") / PART_BYTES).cast("int").alias("parts"))
     loads = stored(loads, "loads")  # a row for each shard
@@ -380,8 +393,7 @@ def recurring_spans(scanned: DataFrame, routes) -> DataFrame:
     return both.mapInArrow(_stream(routes), "key long, same long, spans array<int>")
 
 
-def _scanned(texts: DataFrame, n_shards: int) -> tuple[DataFrame, object]:
-    n_buckets = 2 * partitions(texts.sparkSession)
+def _scanned(texts: DataFrame, n_shards: int, n_buckets: int) -> tuple[DataFrame, object]:
     routes = texts.sparkSession.sparkContext.broadcast(route_table(texts, n_buckets, n_shards))  # 2 ** ROUTE_BITS slots
     return stored(texts.mapInArrow(_scan(routes, n_buckets), _SCANNED), "scanned"), routes
 
@@ -395,8 +407,9 @@ def remove_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("body"))
-    scanned, routes = _scanned(texts, min(60_000, 4 * partitions(spark)))
-    spans = recurring_spans(scanned, routes).groupBy("key", "same").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    n_buckets = 2 * partitions(spark)
+    scanned, routes = _scanned(texts, min(60_000, 2 * n_buckets), n_buckets)
+    spans = recurring_spans(scanned, routes, n_buckets).groupBy("key", "same").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     touched = scanned.where("kind = 1").select("key", "same", "body").join(spans, ["key", "same"], "left").select("key", "body", "spans")
     finished = scanned.where("kind = 0").select("key", "n_words", "n_removed", "kept_sha256")
     return finished.union(touched.mapInArrow(_finish, "key long, n_words long, n_removed long, kept_sha256 string"))
