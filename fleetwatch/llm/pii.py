@@ -40,7 +40,10 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _URL = re.compile(r"[^\s\"'<>]+")
-_VALUE = re.compile(r"(?:[ _-]?(?:no|nr|number|id)\.?)?\s{0,3}[=:#]\s{0,3}[\"']?([A-Za-z0-9][A-Za-z0-9_./+-]*(?: [A-Z0-9]{4}(?![A-Za-z0-9]))*)")
+_VALUE = re.compile(
+    r"(?:[ _-]?(?:no|nr|number|id)\.?)?\s{0,3}[=:#]\s{0,3}[\"']?"
+    r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])|[A-Za-z0-9][A-Za-z0-9_./+-]*)"
+)
 
 
 @lru_cache(maxsize=1)
