@@ -9,7 +9,9 @@ Equal sets are one class. The join runs over classes and over components of link
     size - ceil(t * size) + 2 shingles. If one of the shared ones is rare, it is an index key by itself; if all are
     frequent, a pair of them is a key. A set with very many frequent shingles in its prefix would have too many pairs;
     it is matched by single frequent shingles with every set that has one in its prefix.
-3.  Components that share a key are candidates. All their members are compared by exact intersection, in blocks.
+3.  Components that share a key are candidates if sizes, and what is left of both sets after the key, allow it: the
+    first shingle, or frequent pair, that two similar sets share passes this test. All members of candidates are
+    compared by exact intersection, in blocks.
 
 Which shingles count as frequent changes the work, never the result. Sets travel as sorted 64-bit hashes.
 """
@@ -42,10 +44,12 @@ FILTER_BITS = 27
 BLOCK = 2000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
-_POST = np.dtype([("key", "<u8"), ("comp", "<i8")])
+#: n is the size of a set, rest what is left of it from the key's place in the prefix on; LARGE and above are LARGE.
+LARGE = 65_535
+_POST = np.dtype([("key", "<u8"), ("comp", "<i8"), ("n", "<u2"), ("rest", "<u2")])
 _COUNT = np.dtype([("key", "<u8"), ("n", "<i8")])
 _RANGE = np.dtype([("key", "<u8"), ("low", "<i8"), ("high", "<i8")])
-_DENSE = np.dtype([("key", "<u8"), ("comp", "<i8"), ("dense", "<i8")])
+_DENSE = np.dtype([("key", "<u8"), ("comp", "<i8"), ("n", "<u2"), ("rest", "<u2"), ("dense", "<u2")])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -67,6 +71,86 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(total)
 
 
+def outline(shingles: np.ndarray) -> bytes | None:
+    """How many hashes lie in each of 2 ** k equal ranges, 4 to 8 on average; None if a count does not fit a byte."""
+    k = max(2, math.ceil(math.log2(max(len(shingles), 1) / 8)))
+    count = np.bincount((shingles >> np.uint64(64 - k)).astype(np.int64), minlength=1 << k)
+    return count.astype(np.uint8).tobytes() if count.max() < 256 else None
+
+
+def _coarser(count: np.ndarray, size: int) -> np.ndarray:
+    return count.reshape(size, -1).sum(axis=1) if len(count) > size else count
+
+
+def _may_be_similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose outlines allow enough shared shingles; a pair without both outlines stays."""
+    for batch in batches:
+        a, b, na, nb, left, right = (c.to_pylist() for c in batch.columns)
+        keep = np.ones(len(a), bool)
+        for i in range(len(a)):
+            if left[i] and right[i]:
+                x, y = (np.frombuffer(side[i], np.uint8).astype(np.int64) for side in (left, right))
+                size = min(len(x), len(y))
+                most = int(np.minimum(_coarser(x, size), _coarser(y, size)).sum())
+                keep[i] = (100 + PERCENT) * most >= PERCENT * (na[i] + nb[i])
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
+
+
+def possible(pairs: DataFrame, outlines: DataFrame) -> DataFrame:
+    """The pairs a, b that sizes and outlines (comp, n, outline) allow; a pair without outlines stays."""
+    for side in ("a", "b"):
+        pairs = pairs.join(outlines.select(F.col("comp").alias(side), F.col("n").alias(f"n_{side}"), F.col("outline").alias(f"outline_{side}")), side, "left")
+    return pairs.select("a", "b", "n_a", "n_b", "outline_a", "outline_b").mapInArrow(_may_be_similar, "a long, b long")
+
+
+class _Cover:
+    """Smallest size and largest counts of the members of a component."""
+
+    def __init__(self):
+        self.n, self.count, self.known = 1 << 62, None, True
+
+    def add(self, n: int, count: bytes | None) -> None:
+        self.n = min(self.n, n)
+        if count is None:
+            self.known = False
+        else:
+            new = np.frombuffer(count, np.uint8).astype(np.int64)
+            old = new if self.count is None else self.count
+            size = min(len(old), len(new))
+            self.count = np.maximum(_coarser(old, size), _coarser(new, size))
+
+    def row(self) -> tuple[int, bytes | None]:
+        fits = self.known and self.count is not None and self.count.max(initial=0) < 256
+        return self.n, self.count.astype(np.uint8).tobytes() if fits else None
+
+
+def cover(rows: DataFrame) -> DataFrame:
+    """One outline for each component (comp, n, outline of its members) that no member exceeds; combined in each task first."""
+
+    def table(covers: dict[int, _Cover]) -> dict[str, pa.Array]:
+        found = [(comp, *c.row()) for comp, c in covers.items()]
+        return {"comp": pa.array([f[0] for f in found], pa.int64()), "n": pa.array([f[1] for f in found], pa.int64()), "outline": pa.array([f[2] for f in found], pa.binary())}
+
+    def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        covers: dict[int, _Cover] = {}
+        for batch in batches:
+            for comp, n, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                covers.setdefault(comp, _Cover()).add(n, count)
+            if len(covers) > 20_000:
+                yield pa.RecordBatch.from_pydict(table(covers))
+                covers = {}
+        yield pa.RecordBatch.from_pydict(table(covers))
+
+    def merge(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
+        whole = _Cover()
+        for n, count in zip(found["n"].to_pylist(), found["outline"].to_pylist(), strict=True):
+            whole.add(n, count)
+        return pa.table(table({key[0].as_py(): whole}))
+
+    schema = "comp long, n long, outline binary"
+    return rows.select("comp", "n", "outline").mapInArrow(here, schema).groupBy("comp").applyInArrow(merge, schema)
+
+
 def class_id(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
@@ -77,11 +161,6 @@ def sketch(shingles: np.ndarray) -> list[int]:
     return [xxhash.xxh3_64_intdigest(f"{i},{j},{least[i]},{least[j]}") - (1 << 63) for i in range(4) for j in range(i)]
 
 
-def _runs(rows: np.ndarray) -> np.ndarray:
-    """Where the runs of equal keys of sorted rows begin."""
-    return np.flatnonzero(np.r_[True, rows["key"][1:] != rows["key"][:-1]]) if len(rows) else np.zeros(0, np.int64)
-
-
 def _dealt(rows: np.ndarray, n_buckets: int) -> Iterator[tuple[int, bytes]]:
     """Rows by bucket of their key."""
     bucket = (_mix(rows["key"]) % np.uint64(n_buckets)).astype(np.int64)
@@ -135,12 +214,12 @@ def make_filter(classes: DataFrame, name: str) -> Filter:
     return Filter({r["segment"]: r["bits"] for r in marked.groupBy("segment").applyInArrow(segment, "segment int, bits binary").toLocalIterator()})
 
 
-_SIGNED = "kind int, key long, same long, cls long, n long, keys array<bigint>, bucket int, blob binary"
+_SIGNED = "kind int, key long, same long, cls long, n long, keys array<bigint>, outline binary, bucket int, blob binary"
 
 
 def _sign(n_buckets: int):
     """One row per document with its class, and counts of shingles that several classes of a chunk hold."""
-    types = {"kind": pa.int32(), "key": pa.int64(), "same": pa.int64(), "cls": pa.int64(), "n": pa.int64(), "keys": pa.list_(pa.int64()), "bucket": pa.int32(), "blob": pa.binary()}
+    types = {"kind": pa.int32(), "key": pa.int64(), "same": pa.int64(), "cls": pa.int64(), "n": pa.int64(), "keys": pa.list_(pa.int64()), "outline": pa.binary(), "bucket": pa.int32(), "blob": pa.binary()}
 
     def rows(found: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in found], t) for c, t in types.items()], names=list(types))
@@ -163,6 +242,7 @@ def _sign(n_buckets: int):
                 if len(shingles):
                     row["cls"] = class_id(shingles)
                     row["keys"] = sketch(shingles)
+                    row["outline"] = outline(shingles)
                     if row["cls"] not in seen:
                         seen.add(row["cls"])
                         held.append(shingles)
@@ -259,12 +339,6 @@ def _prefix(shingles: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.nd
     return rare[:length], frequent[: max(0, length - len(rare))]
 
 
-def pair_keys(tokens: np.ndarray) -> np.ndarray:
-    """A key for each pair of a sorted set."""
-    i, j = np.triu_indices(len(tokens), 1)
-    return _mix(tokens[i] * _ODD[1] + _mix(tokens[j]))
-
-
 class _Postings:
     """Index entries of prefixes, without repetition within a chunk."""
 
@@ -273,15 +347,22 @@ class _Postings:
         self.plain, self.dense, self.size = [], [], 0
 
     def add(self, shingles: np.ndarray, comp: int) -> None:
+        n = len(shingles)
         rare, frequent = _prefix(shingles, self.common)
         dense = len(frequent) > PAIRED
-        keys = rare if dense or len(frequent) < 2 else np.concatenate([rare, pair_keys(frequent)])
+        first = len(rare)  # if any frequent one is in the prefix, all rare ones are
+        keys, rest = rare, n - np.arange(len(rare))
+        if not dense and len(frequent) > 1:
+            i, j = np.triu_indices(len(frequent), 1)
+            keys = np.concatenate([rare, _mix(frequent[i] * _ODD[1] + _mix(frequent[j]))])
+            rest = np.concatenate([rest, n - first - j + 1])  # the two shared ones, and all after the second
         rows = np.empty(len(keys), _POST)
-        rows["key"], rows["comp"] = keys, comp
+        rows["key"], rows["comp"], rows["n"], rows["rest"] = keys, comp, min(n, LARGE), np.minimum(rest, LARGE)
         self.plain.append(rows)
         if len(frequent):
             rows = np.empty(len(frequent), _DENSE)
-            rows["key"], rows["comp"], rows["dense"] = frequent, comp, dense
+            rows["key"], rows["comp"], rows["n"], rows["dense"] = frequent, comp, min(n, LARGE), dense
+            rows["rest"] = np.minimum(n - first - np.arange(len(frequent)), LARGE)
             self.dense.append(rows)
         self.size += len(keys) + len(frequent)
 
@@ -317,24 +398,46 @@ def _post(wanted, common, n_buckets: int, from_sets: bool):
     return post
 
 
+def _similar_sizes(low, high, rest, i: slice | np.ndarray, j: slice | np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can be similar if they share their first common shingle, or pair, where `rest` says."""
+    least = 100 + PERCENT
+    unknown = (high[i] >= LARGE) | (high[j] >= LARGE)
+    return unknown | (100 * high[i] >= PERCENT * low[j]) & (100 * high[j] >= PERCENT * low[i]) & (least * np.minimum(rest[i], rest[j]) >= PERCENT * (low[i] + low[j]))
+
+
+def _crossed(rows: np.ndarray) -> Iterator[np.ndarray]:
+    """Pairs of different components that meet in a key and may be similar, from rows sorted by key and component."""
+    if not len(rows):
+        return
+    starts = np.flatnonzero(np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["comp"][1:] != rows["comp"][:-1])])
+    keys, comps = rows["key"][starts], rows["comp"][starts]
+    low, high = np.minimum.reduceat(rows["n"], starts).astype(np.int64), np.maximum.reduceat(rows["n"], starts).astype(np.int64)
+    rest = np.maximum.reduceat(rows["rest"], starts).astype(np.int64)
+    dense = np.maximum.reduceat(rows["dense"], starts) if "dense" in rows.dtype.names else np.ones(len(starts), np.int64)
+    begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    end = np.r_[begin[1:], len(keys)]
+    for a, b in zip(begin[end - begin > 1], end[end - begin > 1], strict=True):
+        for at in range(a, b - 1):
+            j = slice(at + 1, b)
+            good = _similar_sizes(low, high, rest, slice(at, at + 1), j) & ((dense[at] | dense[j]) > 0)
+            if good.any():
+                others = comps[j][good]
+                yield np.stack([np.full(len(others), comps[at]), others], axis=1)
+
+
 def _meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Pairs of components that share a key, each once per bucket."""
+    """Pairs of components that share a key and may be similar, each once per bucket, smaller component first."""
     kinds, blobs = table["kind"].to_numpy(), table["blob"].to_pylist()
-    plain = np.unique(np.frombuffer(b"".join(x for k, x in zip(kinds, blobs, strict=True) if k == 0), _POST))
-    dense = np.unique(np.frombuffer(b"".join(x for k, x in zip(kinds, blobs, strict=True) if k == 1), _DENSE))
-    pairs = set()
-    starts = _runs(plain)
-    ends = np.r_[starts[1:], len(plain)]
-    for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1], strict=True):
-        comps = plain["comp"][a:b].tolist()
-        pairs.update((comps[i], comps[j]) for i in range(len(comps)) for j in range(i + 1, len(comps)))
-    starts = _runs(dense)
-    for a, b in zip(starts, np.r_[starts[1:], len(dense)], strict=False):
-        comps = np.unique(dense["comp"][a:b]).tolist()
-        for c in set(dense["comp"][a:b][dense["dense"][a:b] == 1].tolist()):
-            pairs.update((min(c, d), max(c, d)) for d in comps if d != c)
-    found = sorted(pairs)
-    return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+    held, size = [np.zeros((0, 2), np.int64)], 0
+    for kind, dtype in ((0, _POST), (1, _DENSE)):
+        for found in _crossed(np.unique(np.frombuffer(b"".join(x for k, x in zip(kinds, blobs, strict=True) if k == kind), dtype))):
+            held.append(found)
+            size += len(found)
+            if size > CHUNK:
+                held = [np.unique(np.concatenate(held), axis=0)]
+                size = 0
+    pairs = np.unique(np.concatenate(held), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
 def _compare(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
@@ -359,26 +462,32 @@ def _compare(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.
     return pa.table({"u": pa.array([key[0].as_py()] * len(found), pa.int64()), "v": pa.array(found, pa.int64())})
 
 
+def _only(wanted):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            yield batch.filter(pa.array([c in wanted.value for c in batch.column(0).to_pylist()], pa.bool_()))
+
+    return run
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links among candidate pairs: pairs has components a and b; sets has comp, cls and blob of all their members.
+    """Links u, v among candidate pairs: pairs has comp and other; sets has comp, cls and blob of all their members.
 
-    A pair is linked if any member of a is similar to any of b. Members and partners come in blocks of BLOCK.
+    A pair is linked if any member of comp is similar to any of other. The other's sets travel to comp's; members and
+    partners come in blocks of BLOCK, and only components with more of either are split.
     """
-    pairs = stored(pairs, "pairs")
-    n_members = sets.groupBy("comp").agg(F.count("*").alias("n"))
-    sized = pairs.join(n_members.withColumnRenamed("comp", "a").withColumnRenamed("n", "na"), "a").join(n_members.withColumnRenamed("comp", "b").withColumnRenamed("n", "nb"), "b")
-    # the component with more members is the left side
-    turned = sized.select(
-        F.when(F.col("na") >= F.col("nb"), F.col("a")).otherwise(F.col("b")).alias("comp"), F.when(F.col("na") >= F.col("nb"), F.col("b")).otherwise(F.col("a")).alias("other"), F.greatest("na", "nb").alias("n")
-    )
+    wanted = sets.sparkSession.sparkContext.broadcast(make_filter(pairs, "comp"))
+    members = sets.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("rows"))
     partners = sets.select(F.col("comp").alias("other"), F.col("cls").alias("other_cls"), F.col("blob"))
-    members = turned.groupBy("comp").agg(F.max("n").alias("n"), F.count("*").alias("partners"))
-    blocks = members.select("comp", F.ceil(F.col("n") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("partners") / BLOCK).cast("int").alias("columns"))
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    deal = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    left = sets.join(blocks, "comp").select("comp", "blob", deal("cls", "rows").alias("r"), spread("columns").alias("c"))
-    right = turned.select("comp", "other").join(blocks, "comp").join(partners, "other")
-    right = right.select("comp", "other", "blob", deal("other_cls", "columns").alias("c"), spread("rows").alias("r"))
+    met = pairs.join(sets.select(F.col("comp").alias("other")), "other").groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("columns"))
+    blocks = stored(met.join(members, "comp").where("rows > 1 OR columns > 1"), "blocks")
+    n_rows, n_columns = F.coalesce("rows", F.lit(1)), F.coalesce("columns", F.lit(1))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    deal = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    left = sets.select("comp", "cls", "blob").mapInArrow(_only(wanted), "comp long, cls long, blob binary")
+    left = left.join(blocks, "comp", "left").select("comp", "blob", deal("cls", n_rows).alias("r"), spread(n_columns).alias("c"))
+    right = pairs.join(partners, "other").join(blocks, "comp", "left")
+    right = right.select("comp", "other", "blob", deal("other_cls", n_columns).alias("c"), spread(n_rows).alias("r"))
     return left.groupBy("comp", "r", "c").cogroup(right.groupBy("comp", "r", "c")).applyInArrow(_compare, "u long, v long")
 
 
@@ -393,20 +502,22 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     body = F.col(text).cast("string")
     texts = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(body).alias("same"), body.alias("body"))
     signed = stored(texts.mapInArrow(_sign(n_buckets), _SIGNED), "signed")
-    rows = signed.where("kind = 0").select("key", "same", "cls", "n", "keys")
+    rows = signed.where("kind = 0").select("key", "same", "cls", "n", "keys", "outline")
     totals = signed.agg(F.sum(F.when(F.col("kind") == 2, 1).otherwise(0)).alias("chunks"), F.sum("n").alias("tokens")).first()
     chunks, tokens = totals["chunks"] or 0, totals["tokens"] or 0
     known = _frequent(signed.where("kind = 1"), chunks, max(FREQUENT, 2 * chunks, math.ceil(tokens / 1e6)))  # 2e6 at most
 
-    classes = stored(rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("key").alias("least"), F.first("keys").alias("keys")), "classes")
+    classes = stored(rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("key").alias("least"), F.first("keys").alias("keys"), F.first("n").alias("n"), F.first("outline").alias("outline")), "classes")
     hints = classes.select("cls", F.explode("keys").alias("hint"))
     sizes = hints.groupBy("hint").agg(F.count("*").alias("size")).where("size > 1")
     centre = hints.join(sizes, "hint").groupBy("cls").agg(F.sum("size").alias("weight"))  # classes near the centre share the most
     grouped = stored(hints.join(sizes, "hint").join(centre, "cls"), "grouped")
     pivots = grouped.groupBy("hint").agg(F.max_by("cls", F.struct("weight", "cls")).alias("pivot"))
-    stars = stored(grouped.join(pivots, "hint").where("cls <> pivot").select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct(), "stars")
+    stars = grouped.join(pivots, "hint").where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
+    own = classes.select(F.col("cls").alias("comp"), "n", "outline")
+    stars = stored(possible(stars, own).select(F.col("a").alias("comp"), F.col("b").alias("other")), "stars")
 
-    near = share(make_filter(stars.select(F.explode(F.array("a", "b")).alias("cls")), "cls"))
+    near = share(make_filter(stars.select(F.explode(F.array("comp", "other")).alias("cls")), "cls"))
     gathered = stored(texts.select("body").mapInArrow(_gather([near], share(known), n_buckets), _GATHERED), "gathered")
     sets = gathered.where("kind = 0").select("cls", "blob").dropDuplicates(["cls"])
     first = stored(components(confirmed(stars, sets.select(F.col("cls").alias("comp"), "cls", "blob"))), "first")
@@ -416,10 +527,18 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     common = share(_shared(gathered.where("kind = 1"), sets, share(known), n_buckets))
     posted = texts.select("body").mapInArrow(_post(near, common, n_buckets, False), _POSTED).union(sets.select("blob", "comp").mapInArrow(_post(None, common, n_buckets, True), _POSTED))
     pairs = stored(posted.groupBy("bucket").applyInArrow(_meet, "a long, b long").distinct(), "candidates")
+    joined = own.withColumnRenamed("comp", "cls").join(first.withColumnRenamed("node", "cls"), "cls").select(F.col("root").alias("comp"), "n", "outline")
+    single = own.join(first, F.col("comp") == F.col("node"), "left_anti")
+    pairs = stored(possible(pairs, single.union(cover(joined))), "possible")
     asked = share(make_filter(pairs.select(F.explode(F.array("a", "b")).alias("cls")), "cls"))
-    single = texts.select("body").mapInArrow(_gather([asked, near], None, n_buckets), _GATHERED).dropDuplicates(["cls"])
-    every = stored(sets.union(single.select(F.col("cls").alias("comp"), "cls", "blob")), "every")
-    second = components(confirmed(pairs, every)).select(F.col("node").alias("comp"), F.col("root").alias("whole"))
+    others = texts.select("body").mapInArrow(_gather([asked, near], None, n_buckets), _GATHERED).dropDuplicates(["cls"])
+    some = sets.select("comp", "cls", "blob").mapInArrow(_only(asked), "comp long, cls long, blob binary")
+    every = stored(some.union(others.select(F.col("cls").alias("comp"), "cls", "blob")), "every")
+    members = every.groupBy("comp").agg(F.count("*").alias("n"))
+    sized = pairs.join(members.select(F.col("comp").alias("a"), F.col("n").alias("n_a")), "a").join(members.select(F.col("comp").alias("b"), F.col("n").alias("n_b")), "b")
+    more = F.col("n_a") >= F.col("n_b")  # the sets of the smaller component travel
+    turned = stored(sized.select(F.when(more, F.col("a")).otherwise(F.col("b")).alias("comp"), F.when(more, F.col("b")).otherwise(F.col("a")).alias("other")), "turned")
+    second = components(confirmed(turned, every)).select(F.col("node").alias("comp"), F.col("root").alias("whole"))
 
     roots = classes.select("cls", "least").join(first.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "least", F.coalesce("root", "cls").alias("comp"))
     roots = stored(roots.join(second, "comp", "left").select("cls", "least", F.coalesce("whole", "comp").alias("root")), "roots")
