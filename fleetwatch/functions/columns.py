@@ -32,8 +32,33 @@ def is_active(status: Column) -> Column:
     return status.isin(ACTIVE_STATUSES)
 
 
+def instant(at: Column) -> Column:
+    """The instant of a time column, the same in every session: a time without a zone is UTC."""
+    zoneless = F.concat(at.cast("string"), F.lit("Z")).try_cast("timestamp")
+    return F.when(F.typeof(at) == "timestamp_ntz", zoneless).otherwise(at.cast("timestamp"))
+
+
 def micros(at: Column) -> Column:
-    return F.unix_micros(at.cast("timestamp"))
+    return F.unix_micros(instant(at))
+
+
+def utc_date(at: Column) -> Column:
+    """The UTC day of a time column, the same in every session."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant(at)) / F.lit(86_400)).cast("int"))
+
+
+def utc_clock(at: Column) -> Column:
+    """What a UTC clock shows at the instant, as a time without a zone."""
+    seconds = (micros(at).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
+def canonical_id(text: Column) -> Column:
+    """One spelling for all spellings of an id: lower case, and a UUID with its four hyphens."""
+    bare = F.replace(F.lower(text), F.lit("-"), F.lit(""))
+    hex32 = F.length(text).between(32, 35) & bare.rlike("^[0-9a-f]{32}$")
+    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    return F.when(hex32, F.concat_ws("-", *[F.substring(bare, a, n) for a, n in cuts])).otherwise(F.lower(text))
 
 
 def alert_id(rule_id: Column, at: Column, seq: Column) -> Column:
@@ -57,7 +82,7 @@ def rfc3339(text: Column) -> Column:
     ahead = F.substr(zone, F.lit(2), F.lit(2)).try_cast("int") * 60 + F.right(zone, F.lit(2)).try_cast("int")
     back = F.when(zone.startswith("-"), ahead).otherwise(-ahead)
     instant = F.when(utc, instant).otherwise(F.timestamp_add("MINUTE", back, instant))
-    return F.when(text.rlike(RFC3339 + r"\z"), instant.cast("timestamp"))
+    return F.when(text.rlike(RFC3339 + r"\z"), F.concat(instant.cast("string"), F.lit("Z")).try_cast("timestamp"))
 
 
 def parse_rfc3339(text: str | None) -> datetime | None:
@@ -80,4 +105,5 @@ def instant_literal(at: datetime, like) -> Column:
     """A time literal of the column's own type, so that the comparison reaches the file scan."""
     if at.tzinfo:
         at = at.astimezone(timezone.utc).replace(tzinfo=None)
-    return F.lit(at.isoformat(sep=" ")).cast(like)
+    zone = "Z" if like.typeName() == "timestamp" else ""
+    return F.lit(at.isoformat(sep=" ") + zone).cast(like)

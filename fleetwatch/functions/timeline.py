@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from fleetwatch.functions.columns import instant
+
 STRETCH_SECONDS = 600
 _BEFORE_ALL = -(2**62)
 _STRETCH = "_stretch"
@@ -17,7 +19,7 @@ _STRETCH = "_stretch"
 
 def stretch(at: Column, seconds: int) -> Column:
     """Number of the time stretch; rows without a time come before all others."""
-    number = F.floor(F.unix_seconds(at.cast("timestamp")) / F.lit(seconds)).cast("long")
+    number = F.floor(F.unix_seconds(instant(at)) / F.lit(seconds)).cast("long")
     return F.coalesce(number, F.lit(_BEFORE_ALL))
 
 

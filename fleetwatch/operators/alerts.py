@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.functions.columns import alert_id, filled, is_active, micros
+from fleetwatch.functions.columns import alert_id, canonical_id, filled, is_active, micros
 from fleetwatch.functions.timeline import STRETCH_SECONDS, nearest
 from fleetwatch.operators.rules import decision, enabled_rules, evaluate, match_rules
 from fleetwatch.schemas import ALERTS
@@ -41,12 +41,12 @@ def auto_resolve(alerts: DataFrame, decisions: DataFrame) -> DataFrame:
     """Closes every active alert of each rule with an auto-resolve decision."""
     ends = (
         decisions.where(F.col("decision") == "auto_resolve")
-        .groupBy(F.lower("alert_rule_id").alias("_rule"))
+        .groupBy(canonical_id(F.col("alert_rule_id")).alias("_rule"))
         .agg(F.min("received_at").alias("_end"))
     )
     closes = is_active(F.col("status")) & F.col("_end").isNotNull()
     return (
-        alerts.join(ends, F.lower("alert_rule_id") == F.col("_rule"), "left")
+        alerts.join(ends, canonical_id(F.col("alert_rule_id")) == F.col("_rule"), "left")
         .withColumns(
             {
                 "resolved_at": F.when(closes, F.col("_end")).otherwise(F.col("resolved_at")),
@@ -75,7 +75,7 @@ def _carried(initial_alerts: DataFrame) -> DataFrame:
     """One row per rule that starts out with an active alert, placed before all others."""
     return (
         initial_alerts.where(is_active(F.col("status")))
-        .select(F.lower("alert_rule_id").alias("alert_rule_id"))
+        .select(canonical_id(F.col("alert_rule_id")).alias("alert_rule_id"))
         .distinct()
         .withColumns({"kind": F.lit("carried"), "breached": F.lit(True)})
     )
@@ -84,19 +84,20 @@ def _carried(initial_alerts: DataFrame) -> DataFrame:
 def _commands(commands: DataFrame, users: DataFrame | None) -> DataFrame:
     """Commands as timeline rows, each marked when it cannot take effect for lack of a valid user."""
     rows = commands.select(
-        F.lower("alert_rule_id").alias("alert_rule_id"),
+        canonical_id(F.col("alert_rule_id")).alias("alert_rule_id"),
         F.col("cmd_ts").alias("received_at"),
         F.lit(_COMMAND).alias("rank"),
         F.col("cmd_id").alias("seq"),
         F.col("action").alias("kind"),
-        F.lower("user_id").alias("user_id"),
+        canonical_id(F.col("user_id")).alias("user_id"),
         F.when(
-            ~filled(F.col("user_id")) | ~F.col("action").isin("acknowledge", "resolve"), "bad_request"
+            ~filled(F.col("user_id")) | ~F.coalesce(F.col("action").isin("acknowledge", "resolve"), F.lit(False)),
+            "bad_request",
         ).alias("refusal"),
     )
     if users is None:
         return rows
-    known = users.select(F.lower("id").alias("user_id"), F.lit(True).alias("_known"))
+    known = users.select(canonical_id(F.col("id")).alias("user_id"), F.lit(True).alias("_known"))
     stranger = F.coalesce(F.col("refusal"), F.when(F.col("_known").isNull(), "invalid_user"))
     return rows.join(known, "user_id", "left").withColumn("refusal", stranger).drop("_known")
 
@@ -209,7 +210,7 @@ def _alerts(rows: DataFrame, initial_alerts: DataFrame | None) -> DataFrame:
     acked = (F.col("status") == "open") & F.col("_ack").isNotNull()
     ended = is_active(F.col("status")) & F.col("_end").isNotNull()
     continued = (
-        initial_alerts.join(changes, F.lower("alert_rule_id") == F.col("_rule"), "left")
+        initial_alerts.join(changes, canonical_id(F.col("alert_rule_id")) == F.col("_rule"), "left")
         .withColumns(
             {
                 "acknowledged_at": F.when(acked, F.col("_ack.received_at")).otherwise(F.col("acknowledged_at")),
@@ -236,7 +237,7 @@ def _outcomes(rows: DataFrame, initial_alerts: DataFrame | None) -> DataFrame:
         # An alert acknowledged before the start cannot be acknowledged again.
         taken = (
             initial_alerts.where(is_active(F.col("status")))
-            .groupBy(F.lower("alert_rule_id").alias("alert_rule_id"))
+            .groupBy(canonical_id(F.col("alert_rule_id")).alias("alert_rule_id"))
             .agg(F.bool_and(F.col("status") == "acknowledged").alias("_taken"))
             .withColumn("cut", F.lit(""))
         )

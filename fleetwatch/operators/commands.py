@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.functions.columns import filled, is_active
+from fleetwatch.functions.columns import canonical_id, filled, is_active
 from fleetwatch.schemas import UUID_PATTERN
 
 
@@ -25,10 +25,10 @@ def _well_formed(text: Column, pattern: str) -> Column:
 
 
 def _outcomes(alerts: DataFrame, users: DataFrame, commands: DataFrame, id_pattern: str) -> DataFrame:
-    known = users.select(F.lower("id").alias("_user"), F.lit(True).alias("_known"))
-    states = alerts.select(F.lower("id").alias("_alert"), F.col("status").alias("_status"))
+    known = users.select(canonical_id(F.col("id")).alias("_user"), F.lit(True).alias("_known"))
+    states = alerts.select(canonical_id(F.col("id")).alias("_alert"), F.col("status").alias("_status"))
     rows = (
-        commands.withColumns({"_user": F.lower("user_id"), "_alert": F.lower("alert_id")})
+        commands.withColumns({"_user": canonical_id(F.col("user_id")), "_alert": canonical_id(F.col("alert_id"))})
         .join(known, "_user", "left")
         .withColumns(
             {
@@ -50,7 +50,10 @@ def _outcomes(alerts: DataFrame, users: DataFrame, commands: DataFrame, id_patte
         F.col("action") == "resolve", is_active(F.col("_status")) & unresolved
     )
     outcome = (
-        F.when(~filled(F.col("user_id")) | ~F.col("action").isin("acknowledge", "resolve"), "bad_request")
+        F.when(
+            ~filled(F.col("user_id")) | ~F.coalesce(F.col("action").isin("acknowledge", "resolve"), F.lit(False)),
+            "bad_request",
+        )
         .when(~F.col("_formed"), "invalid_id")
         .when(F.col("_status").isNull(), "not_found")
         .when(~F.coalesce(guard, F.lit(False)), "conflict")
@@ -73,7 +76,7 @@ def _apply(alerts: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
     acked, ended = F.col("_ack").isNotNull(), F.col("_end").isNotNull()
     return (
-        alerts.join(deeds, F.lower("id") == F.col("_alert"), "left")
+        alerts.join(deeds, canonical_id(F.col("id")) == F.col("_alert"), "left")
         .withColumns(
             {
                 "acknowledged_at": F.when(acked, F.col("_ack.at")).otherwise(F.col("acknowledged_at")),

@@ -40,7 +40,7 @@ def _decode(messages: DataFrame) -> DataFrame:
     strict = alone & (~F.col("payload").contains("]") | nested.isNotNull())
 
     kept = {c: F.col(f"_fields.{c}") for c in [*_IDS, "readings", "ts"]}
-    year_one = F.lit("0001-01-01 00:00:00").cast("timestamp")
+    year_one = F.lit("0001-01-01 00:00:00Z").cast("timestamp")
     ts = F.when(_nothing(kept["ts"]), year_one).when(
         _kind(kept["ts"]) == "STRING", rfc3339(F.col("_texts.ts"))
     )
@@ -115,6 +115,9 @@ def parse_messages(messages: DataFrame, topic_root: str) -> DataFrame:
     result = F.struct(
         reason.alias("reject_reason"), *[F.col(f"{m}.{c}").alias(c) for c in [*_IDS, "readings", "ts"]]
     )
+    spark = messages.sparkSession
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        raise ValueError("set spark.sql.variant.allowDuplicateKeys to true: of equal JSON keys the last one counts")
     # Generated columns keep a filter on the reason above the decoding, which then runs once per
     # message; pushed below, the filter would repeat it.
     return _decode(messages).select(*messages.columns, F.inline(F.array(result)))

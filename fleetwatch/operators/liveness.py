@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.functions.columns import micros
+from fleetwatch.functions.columns import canonical_id, micros
 
 # The functions below travel with the tasks, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -67,9 +67,9 @@ def last_written(
 
 def apply_last_seen(devices: DataFrame, writes: DataFrame) -> DataFrame:
     """Devices with their newest written time. Writes of unknown devices match nothing."""
-    newest = writes.groupBy(F.lower("device_id").alias("_device")).agg(F.max("written_at").alias("_at"))
+    newest = writes.groupBy(canonical_id(F.col("device_id")).alias("_device")).agg(F.max("written_at").alias("_at"))
     return (
-        devices.join(newest, F.lower("id") == F.col("_device"), "left")
+        devices.join(newest, canonical_id(F.col("id")) == F.col("_device"), "left")
         .withColumn("last_seen_at", F.coalesce("_at", "last_seen_at"))
         .select(*devices.columns)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatch import schemas
-from fleetwatch.functions.columns import is_active
+from fleetwatch.functions.columns import canonical_id, is_active
 
 # Which words each column admits.
 DOMAINS = [
@@ -55,24 +55,44 @@ def _labelled(column: str, value: Column) -> Column:
     return F.concat(F.lit(f"{column}="), value.cast("string"))
 
 
+def _by_table(listed: list[tuple]) -> dict[str, list[tuple]]:
+    found: dict[str, list[tuple]] = {}
+    for table, *rest in listed:
+        found.setdefault(table, []).append(tuple(rest))
+    return found
+
+
+def _found(rows: DataFrame, *columns: Column) -> DataFrame:
+    """One row per non-null text among the columns of a row, in one pass."""
+    return rows.select("id", F.explode(F.filter(F.array(*columns), lambda x: x.isNotNull())).alias("_detail"))
+
+
 def check_domains(tables: Tables) -> DataFrame:
-    return _union(
-        [
-            _violation(
-                tables[t].where(~F.col(c).isin(words)), "allowed_values", t, F.col("id"), _labelled(c, F.col(c))
-            )
-            for t, c, words in DOMAINS
-        ]
-    )
+    """One pass per table, one row per value that its column does not admit."""
+    parts = []
+    for t, checks in _by_table(DOMAINS).items():
+        odd = [F.when(~F.col(c).isin(words), _labelled(c, F.col(c))) for c, words in checks]
+        parts.append(_violation(_found(tables[t], *odd), "allowed_values", t, F.col("id"), F.col("_detail")))
+    return _union(parts)
 
 
 def check_foreign_keys(tables: Tables) -> DataFrame:
-    """References to rows that do not exist; a null reference is fine."""
+    """References to rows that do not exist; a null reference is fine.
+
+    Each child table is read once and its references join each parent once.
+    """
     parts = []
-    for t, c, parent in FOREIGN_KEYS:
-        children = tables[t].select("id", F.lower(c).alias("_ref")).where(F.col("_ref").isNotNull())
-        orphans = children.join(tables[parent].select(F.lower("id").alias("_ref")), "_ref", "left_anti")
-        parts.append(_violation(orphans, "foreign_key", t, F.col("id"), _labelled(c, F.col("_ref"))))
+    for t, keys in _by_table(FOREIGN_KEYS).items():
+        by_parent = _by_table([(parent, c) for c, parent in keys])
+        for parent, columns in by_parent.items():
+            refs = F.filter(
+                F.array(*[F.struct(F.lit(c).alias("c"), canonical_id(F.col(c)).alias("ref")) for (c,) in columns]),
+                lambda x: x["ref"].isNotNull(),
+            )
+            children = tables[t].select("id", F.inline(refs))
+            known = tables[parent].select(canonical_id(F.col("id")).alias("ref"))
+            orphans = children.join(known, "ref", "left_anti")
+            parts.append(_violation(orphans, "foreign_key", t, F.col("id"), F.concat("c", F.lit("="), "ref")))
     return _union(parts)
 
 
@@ -81,8 +101,8 @@ def blocked_deletes(tables: Tables) -> DataFrame:
     parts = []
     for t, c, parent in RESTRICTED:
         # Reduced to one row per parent before the join, whatever the number of dependants.
-        needed = tables[t].select(F.lower(c).alias("_ref")).distinct()
-        held = tables[parent].select("id", F.lower("id").alias("_ref")).join(needed, "_ref", "left_semi")
+        needed = tables[t].select(canonical_id(F.col(c)).alias("_ref")).distinct()
+        held = tables[parent].select("id", canonical_id(F.col("id")).alias("_ref")).join(needed, "_ref", "left_semi")
         parts.append(_violation(held, "blocked_delete", parent, F.col("id"), F.lit(f"{t}.{c}")))
     return _union(parts)
 
@@ -90,9 +110,9 @@ def blocked_deletes(tables: Tables) -> DataFrame:
 def remove_users(alerts: DataFrame, removed: DataFrame) -> DataFrame:
     """The alerts after users are removed: history stays, references to them become null."""
     for column in ("acknowledged_by", "resolved_by"):
-        leaving = removed.select(F.lower("id").alias("_user")).distinct().withColumn("_left", F.lit(True))
+        leaving = removed.select(canonical_id(F.col("id")).alias("_user")).distinct().withColumn("_left", F.lit(True))
         alerts = (
-            alerts.join(leaving, F.lower(column) == F.col("_user"), "left")
+            alerts.join(leaving, canonical_id(F.col(column)) == F.col("_user"), "left")
             .withColumn(column, F.when(F.col("_left").isNull(), F.col(column)))
             .drop("_user", "_left")
         )
@@ -103,7 +123,7 @@ def check_unique(tables: Tables) -> DataFrame:
     return _union(
         [
             _violation(
-                tables[t].where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+                tables[t].where(F.col(c).isNotNull()).groupBy((canonical_id(F.col(c)) if c == "id" else F.col(c)).alias(c)).agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
                 "unique",
                 t,
                 F.col(c),
@@ -118,11 +138,8 @@ def check_not_null(tables: Tables) -> DataFrame:
     """One pass per table, one row per null found."""
     parts = []
     for t, columns in schemas.NOT_NULL.items():
-        empty = F.filter(
-            F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]), lambda c: c.isNotNull()
-        )
-        nulls = tables[t].select("id", F.explode(empty).alias("_column"))
-        parts.append(_violation(nulls, "not_null", t, F.col("id"), F.col("_column")))
+        nulls = _found(tables[t], *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+        parts.append(_violation(nulls, "not_null", t, F.col("id"), F.col("_detail")))
     return _union(parts)
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.functions.columns import alert_id, filled
+from fleetwatch.functions.columns import alert_id, canonical_id, filled
 from fleetwatch.schemas import OPERATORS, SEVERITIES, UUID_PATTERN
 
 _CHANGED = ["metric", "operator", "threshold", "severity", "enabled"]
@@ -28,8 +28,8 @@ def _valid_words() -> Column:
 def _judge(rules, devices, alerts, changes, id_pattern) -> DataFrame:
     changes = changes.withColumns(
         {
-            "_device": F.lower("device_id"),
-            "_rule": F.lower("rule_id"),
+            "_device": canonical_id(F.col("device_id")),
+            "_rule": canonical_id(F.col("rule_id")),
             "_at": F.struct("chg_ts", "chg_id"),
             # Absent numbers are zero, an absent switch is on, an absent text is empty.
             "metric": F.coalesce("metric", F.lit("")),
@@ -44,7 +44,7 @@ def _judge(rules, devices, alerts, changes, id_pattern) -> DataFrame:
 
 
 def _judge_creates(creates: DataFrame, devices: DataFrame) -> DataFrame:
-    known = devices.select(F.lower("id").alias("_device"), F.lit(True).alias("_known"))
+    known = devices.select(canonical_id(F.col("id")).alias("_device"), F.lit(True).alias("_known"))
     complete = filled(F.col("metric")) & _valid_words() & F.col("_known").isNotNull()
     return (
         creates.join(known, "_device", "left")
@@ -55,10 +55,10 @@ def _judge_creates(creates: DataFrame, devices: DataFrame) -> DataFrame:
 
 def _judge_others(rows: DataFrame, rules: DataFrame, alerts: DataFrame, id_pattern: str) -> DataFrame:
     """Updates and deletes, which address a rule. Creates in the batch cannot be addressed."""
-    used = alerts.select(F.lower("alert_rule_id").alias("_rule")).distinct().withColumn("_used", F.lit(True))
+    used = alerts.select(canonical_id(F.col("alert_rule_id")).alias("_rule")).distinct().withColumn("_used", F.lit(True))
     deletes = rows.where(F.col("action") == "delete").groupBy("_rule").agg(F.min("_at").alias("_deleted"))
     states = (
-        rules.select(F.lower("id").alias("_rule"), F.lit(True).alias("_known"))
+        rules.select(canonical_id(F.col("id")).alias("_rule"), F.lit(True).alias("_known"))
         .join(used, "_rule", "left")
         .join(deletes, "_rule", "left")
     )
@@ -94,7 +94,7 @@ def _apply(rules: DataFrame, judged: DataFrame) -> DataFrame:
     )
     updated = F.col("_image").isNotNull()
     kept = (
-        rules.join(final, F.lower("id") == F.col("_rule"), "left")
+        rules.join(final, canonical_id(F.col("id")) == F.col("_rule"), "left")
         .where(~F.coalesce(F.col("_delete"), F.lit(False)))
         .withColumns({c: F.when(updated, F.col(f"_image.{c}")).otherwise(F.col(c)) for c in _CHANGED})
         .select(*rules.columns)

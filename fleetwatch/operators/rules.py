@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.functions.columns import breached, is_active
+from fleetwatch.functions.columns import breached, canonical_id, is_active
 
 
 def enabled_rules(rules: DataFrame) -> DataFrame:
@@ -23,14 +23,14 @@ def match_rules(telemetry: DataFrame, rules: DataFrame) -> DataFrame:
     that dominates the shuffled telemetry (adaptive skew join).
     """
     readings = telemetry.select(
-        F.lower("device_id").alias("device_id"),
+        canonical_id(F.col("device_id")).alias("device_id"),
         "received_at",
         "seq",
         F.explode("readings").alias("metric", "value"),
     )
     wanted = rules.select(
-        F.lower("id").alias("alert_rule_id"),
-        F.lower("device_id").alias("device_id"),
+        canonical_id(F.col("id")).alias("alert_rule_id"),
+        canonical_id(F.col("device_id")).alias("device_id"),
         "metric",
         "operator",
         "threshold",
@@ -51,8 +51,8 @@ def decision(is_breached: Column, was_active: Column) -> Column:
 def decide(matches: DataFrame, active: DataFrame) -> DataFrame:
     """Decisions of single messages against a given set of active rules."""
     marked = active.select(
-        F.lower("device_id").alias("device_id"),
-        F.lower("alert_rule_id").alias("alert_rule_id"),
+        canonical_id(F.col("device_id")).alias("device_id"),
+        canonical_id(F.col("alert_rule_id")).alias("alert_rule_id"),
         F.lit(True).alias("_active"),
     )
     was_active = F.coalesce(F.col("_active"), F.lit(False))

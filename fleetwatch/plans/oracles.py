@@ -309,9 +309,13 @@ _BODIES = {
     "telemetry_raw": """SELECT device_id, site_id, device_type, metric, value, ts, received_at, seq FROM v_parsed
         WHERE reject_reason IS NULL""",
     "telemetry_layout": """SELECT *, CAST(ts AS DATE) AS ts_date FROM v_telemetry""",
+    "telemetry_layout_late": """SELECT *, CAST(ts AS DATE) AS ts_date FROM v_telemetry""",
     "parse_accepted": """SELECT device_id, site_id, device_type, metric, value, ts, received_at, seq FROM v_parsed
         WHERE reject_reason IS NULL""",
     "ingest_rejects": "SELECT topic, received_at, seq, reject_reason FROM v_topics WHERE reject_reason IS NOT NULL",
+    "alert_stream_rejects": """SELECT CASE WHEN seq % 70 <> 7 THEN topic END AS topic, received_at, seq,
+        CASE WHEN seq % 70 = 7 THEN 'bad_topic' ELSE reject_reason END AS reject_reason
+        FROM v_topics WHERE reject_reason IS NOT NULL OR seq % 70 = 7""",
     "reject_counts": """SELECT reject_reason, count(*) AS messages FROM v_parsed WHERE reject_reason IS NOT NULL
         GROUP BY reject_reason""",
     "enabled_rules": "SELECT * EXCLUDE (created_at) FROM v_rules WHERE enabled",
@@ -472,6 +476,36 @@ _BODIES = {
         'active=' || count(*) AS detail
         FROM (SELECT * FROM v_alerts UNION ALL SELECT * FROM v_earlier) WHERE status = 'open'
         GROUP BY alert_rule_id HAVING count(*) > 1""",
+    "check_integrity": (
+        _DAMAGED,
+        _violations(
+            [
+                _domain("sites", "d_sites", "type", SITE_TYPES),
+                _domain("devices", "d_devices", "type", DEVICE_TYPES),
+                _domain("alert_rules", "d_alert_rules", "operator", OPERATORS),
+                _domain("alert_rules", "d_alert_rules", "severity", SEVERITIES),
+                _domain("alerts", "d_alerts", "severity", SEVERITIES),
+                _domain("alerts", "d_alerts", "status", STATUSES),
+                _domain("users", "d_users", "role", ROLES),
+                _orphans("devices", "site_id", "sites"),
+                _orphans("alert_rules", "device_id", "devices"),
+                _orphans("alerts", "alert_rule_id", "alert_rules"),
+                _orphans("alerts", "device_id", "devices"),
+                _orphans("alerts", "acknowledged_by", "users"),
+                _orphans("alerts", "resolved_by", "users"),
+                _repeats("sites", "id"),
+                _repeats("devices", "id"),
+                _repeats("alert_rules", "id"),
+                _repeats("users", "id"),
+                _repeats("alerts", "id"),
+                _repeats("users", "email"),
+                ("not_null", "devices", "id", "'name'", "d_devices WHERE name IS NULL"),
+                ("not_null", "alert_rules", "id", "'threshold'", "d_alert_rules WHERE threshold IS NULL"),
+            ]
+        )
+        + """ UNION ALL SELECT 'single_active', 'alerts', alert_rule_id, 'active=' || count(*)
+        FROM d_alerts WHERE status IN ('open', 'acknowledged') GROUP BY alert_rule_id HAVING count(*) > 1""",
+    ),
     "table_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {view}"
         for name, view in [

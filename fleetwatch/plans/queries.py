@@ -95,8 +95,23 @@ def _telemetry_raw(v: Views) -> DataFrame:
 
 def _telemetry_layout(v: Views) -> DataFrame:
     folder = scratch_path(v.spark, "layout")
-    T.write_telemetry_layout(v.telemetry.withColumns({c: F.col(c).cast("timestamp") for c in ("ts", "received_at")}), folder)
-    return _flat(T.read_telemetry(v.spark, folder, laid_out=True))
+    T.write_telemetry_layout(_zoned(v.telemetry), folder)
+    return _flat(T.read_telemetry(v.spark, folder, laid_out=True).drop("batch"))
+
+
+def _telemetry_layout_late(v: Views) -> DataFrame:
+    """The layout in two batches, the second of late rows of the same days and written twice; then compacted."""
+    folder, whole = scratch_path(v.spark, "layout"), scratch_path(v.spark, "layout")
+    late = F.col("seq") % 3 == 0
+    T.write_telemetry_layout(_zoned(v.telemetry.where(~late)), folder, "first")
+    for _ in range(2):
+        T.write_telemetry_layout(_zoned(v.telemetry.where(late)), folder, "late")
+    T.compact_telemetry_layout(v.spark, folder, whole)
+    return _flat(T.read_telemetry(v.spark, whole, laid_out=True).drop("batch"))
+
+
+def _zoned(telemetry: DataFrame) -> DataFrame:
+    return telemetry.withColumns({c: F.col(c).cast("timestamp") for c in ("ts", "received_at")})
 
 
 def _alert_stream(v: Views) -> DataFrame:
@@ -113,6 +128,17 @@ def _alert_stream(v: Views) -> DataFrame:
     return _plain(E.current_alerts(v.spark, store)).select(*_ALERT_FACTS)
 
 
+def _alert_stream_rejects(v: Views) -> DataFrame:
+    """What the stream keeps aside, with messages that came without a topic among the damage."""
+    source, root, checkpoint = (scratch_path(v.spark, n) for n in ("messages", "alerts", "checkpoint"))
+    keyless = F.when(F.col("seq") % 70 != 7, F.col("topic"))
+    S.write_messages(v.messages.withColumn("topic", keyless), source)
+    store = E.AlertStore(root)
+    stream = S.read_messages(v.spark, source, streaming=True)
+    E.run_alert_stream(stream, store, checkpoint, TOPIC_ROOT, lambda: v.rules, once=True).awaitTermination()
+    return store.all(v.spark, "rejects").select("topic", "received_at", "seq", "reject_reason")
+
+
 def _rule_decisions(v: Views) -> DataFrame:
     return U.decide(
         U.match_rules(v.newest_messages, U.enabled_rules(v.rules)), U.active_rules(v.earlier_alerts)
@@ -192,6 +218,7 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "encode_messages": _encode_messages,
     "telemetry_raw": _telemetry_raw,
     "telemetry_layout": _telemetry_layout,
+    "telemetry_layout_late": _telemetry_layout_late,
     "parse_accepted": lambda v: _flat(I.accepted(_parsed(v))),
     "ingest_rejects": lambda v: _plain(I.rejects(_parsed(v))).drop("payload"),
     "reject_counts": lambda v: I.reject_counts(_parsed(v)),
@@ -209,6 +236,7 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "alert_lifecycle": lambda v: A.replay_with_commands(v.telemetry, v.rules, v.rule_commands)[0],
     "alert_lifecycle_outcomes": lambda v: A.replay_with_commands(v.telemetry, v.rules, v.rule_commands)[1],
     "alert_stream": _alert_stream,
+    "alert_stream_rejects": _alert_stream_rejects,
     "last_seen_writes": lambda v: L.last_seen_writes(v.telemetry, gap_seconds=GAP_SECONDS),
     "device_last_seen": lambda v: _last_seen(v).select("id", "name", "last_seen_at"),
     "list_sites": lambda v: Q.list_sites(v.sites),
@@ -239,6 +267,7 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "check_unique": lambda v: C.check_unique(_damaged(v)),
     "check_not_null": lambda v: C.check_not_null(_damaged(v)),
     "check_single_active": _several_active,
+    "check_integrity": lambda v: C.check_integrity(_damaged(v)),
     "table_counts": lambda v: C.table_counts({**v.tables, "telemetry_raw": v.telemetry}),
     "check_reading_keys": lambda v: C.check_reading_keys(v.telemetry, CONTRACT),
     "check_reading_bounds": lambda v: C.check_reading_bounds(v.telemetry, BOUNDS),

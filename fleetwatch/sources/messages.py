@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwatch.functions.columns import utc_clock
 from fleetwatch.schemas import MESSAGES
 
 
@@ -22,12 +23,19 @@ def write_messages(messages: DataFrame, path: str) -> None:
 
 
 def from_kafka(records: DataFrame) -> DataFrame:
-    """Messages out of Kafka records whose key is the device topic."""
+    """Messages out of Kafka records whose key is the device topic.
+
+    Alerts and liveness go by the time of receipt, so the topic must use LogAppendTime (timestamp
+    type 1); a record with the producer's clock fails the query. Offsets count per Kafka partition:
+    `seq` is the partition in the upper 16 bits and the offset below.
+    """
+    appended = F.col("timestampType") == 1
+    refused = F.raise_error(F.lit("the topic's message.timestamp.type must be LogAppendTime")).cast("timestamp")
     return records.select(
         F.col("key").cast("string").alias("topic"),
         F.col("value").cast("string").alias("payload"),
-        F.col("timestamp").alias("received_at"),
-        F.col("offset").alias("seq"),
+        F.when(appended, F.col("timestamp")).otherwise(refused).alias("received_at"),
+        F.shiftleft(F.col("partition").cast("long"), 48).bitwiseOR(F.col("offset")).alias("seq"),
     )
 
 
@@ -38,7 +46,7 @@ def encode_messages(telemetry: DataFrame, topic_root: str) -> DataFrame:
         "site_id",
         "device_type",
         "readings",
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"),
+        F.date_format(utc_clock(F.col("ts")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"),
     )
     return telemetry.select(
         F.concat_ws("/", F.lit(topic_root), "site_id", "device_id", F.lit("telemetry")).alias("topic"),

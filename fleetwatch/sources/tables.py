@@ -1,26 +1,47 @@
 """Reading and writing the stored tables."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from fleetwatch.functions.columns import canonical_id, utc_date
 from fleetwatch.schemas import TABLES, TELEMETRY
 
 
 def load_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Sites, devices, rules, users and alerts from Parquet."""
-    return {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in TABLES.items()}
+    """Sites, devices, rules, users and alerts from Parquet, ids in one spelling."""
+    return {name: _canonical(spark.read.schema(schema).parquet(f"{root}/{name}")) for name, schema in TABLES.items()}
+
+
+def _canonical(rows: DataFrame) -> DataFrame:
+    ids = [c for c in rows.columns if c == "id" or c.endswith(("_id", "ed_by"))]
+    return rows.withColumns({c: canonical_id(F.col(c)) for c in ids})
+
+
+@dataclass(frozen=True)
+class Slices:
+    """How to read a table in parallel: a numeric or time column, its bounds, and how many parts."""
 
+    column: str
+    lower: str
+    upper: str
+    parts: int
 
-def load_tables_jdbc(spark: SparkSession, url: str, properties: dict[str, str]) -> dict[str, DataFrame]:
-    """The same tables from a live database."""
-    return {
-        name: spark.read.jdbc(url, name, properties=properties).select(
-            *[F.col(f.name).cast(f.dataType) for f in schema]
-        )
-        for name, schema in TABLES.items()
-    }
+
+def load_tables_jdbc(
+    spark: SparkSession, url: str, properties: dict[str, str], slices: dict[str, Slices] | None = None
+) -> dict[str, DataFrame]:
+    """The same tables from a live database; those named in `slices` (at least alerts) in parallel parts."""
+    found = {}
+    for name, schema in TABLES.items():
+        cut = (slices or {}).get(name)
+        parts = {} if cut is None else dict(column=cut.column, lowerBound=cut.lower, upperBound=cut.upper, numPartitions=cut.parts)
+        rows = spark.read.jdbc(url, name, properties=properties, **parts)
+        found[name] = _canonical(rows.select(*[F.col(f.name).cast(f.dataType) for f in schema]))
+    return found
 
 
 def write_telemetry(
@@ -34,26 +55,35 @@ def write_telemetry(
     return (writer.trigger(availableNow=True) if once else writer).start(path)
 
 
-def write_telemetry_layout(telemetry: DataFrame, path: str) -> None:
-    """Lays telemetry out for reads by device and time; also compacts a stream's small files.
+def write_telemetry_layout(telemetry: DataFrame, path: str, batch: str = "all") -> None:
+    """Lays telemetry out for reads by device and time, each batch of rows beside the others of its days.
 
-    The range shuffle is on day, device and time, so a busy device or day spreads over several
-    files and each file holds few devices. Only the days present are replaced, so a rerun of the
-    same days is harmless.
+    Days go by the publishers' clocks, so late rows are normal: they land in folders of their own
+    batch and leave what their days hold. A batch that is written again replaces itself. The range
+    shuffle is on day, device and time, so a busy device or day spreads over several files and each
+    file holds few devices.
     """
     (
-        telemetry.withColumn("ts_date", F.to_date("ts"))
+        telemetry.withColumns({"ts_date": utc_date(F.col("ts")), "batch": F.lit(batch)})
         .repartitionByRange("ts_date", "device_id", F.desc("ts"))
         .sortWithinPartitions("ts_date", "device_id", F.desc("ts"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ts_date")
+        .partitionBy("ts_date", "batch")
         .parquet(path)
     )
 
 
+def compact_telemetry_layout(spark: SparkSession, path: str, target: str) -> None:
+    """Writes all batches of a layout, or of a stream's small files, as one batch to another folder.
+
+    The source stays as it is until its owner drops it, so readers and a repeated run lose nothing.
+    """
+    write_telemetry_layout(read_telemetry(spark, path), target)
+
+
 def read_telemetry(spark: SparkSession, path: str, laid_out: bool = False) -> DataFrame:
     schema = TELEMETRY
     if laid_out:
-        schema = T.StructType([*TELEMETRY.fields, T.StructField("ts_date", T.DateType())])
+        schema = T.StructType([*TELEMETRY.fields, T.StructField("ts_date", T.DateType()), T.StructField("batch", T.StringType())])
     return spark.read.schema(schema).parquet(path)

@@ -109,9 +109,7 @@ def run_alert_stream(
     Commands come through the same query, so alerts have a single writer. `load_rules` is called
     per batch: an edited rule counts from the next batch on.
     """
-    inputs = messages.select(*schemas.MESSAGES.names)
-    if commands is not None:
-        inputs = inputs.unionByName(commands.select(*schemas.RULE_COMMANDS.names), allowMissingColumns=True)
+    inputs = mark_sources(messages, commands)
 
     def batch(rows: DataFrame, number: int) -> None:
         process_batch(rows, number, store, topic_root, load_rules(), users)
@@ -120,6 +118,15 @@ def run_alert_stream(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def mark_sources(messages: DataFrame, commands: DataFrame | None = None) -> DataFrame:
+    """Messages and commands in one table; `source` tells them apart whatever else is null."""
+    rows = messages.select(*schemas.MESSAGES.names, F.lit("message").alias("source"))
+    if commands is None:
+        return rows
+    named = commands.select(*schemas.RULE_COMMANDS.names, F.lit("command").alias("source"))
+    return rows.unionByName(named, allowMissingColumns=True)
+
+
 def process_batch(
     rows: DataFrame,
     number: int,
@@ -128,9 +135,14 @@ def process_batch(
     rules: DataFrame,
     users: DataFrame | None = None,
 ) -> None:
-    """Telemetry first, then last-seen times, then alerts: the order in which failures may strike."""
+    """Telemetry first, then last-seen times, then alerts: the order in which failures may strike.
+
+    `rows` come from mark_sources; rows without a `source` column are messages, all of them.
+    """
     spark = rows.sparkSession
-    parsed = parse_messages(rows.where(F.col("topic").isNotNull()), topic_root).persist(StorageLevel.MEMORY_AND_DISK)
+    marked = "source" in rows.columns
+    messages = rows.where(F.col("source") == "message") if marked else rows
+    parsed = parse_messages(messages.select(*schemas.MESSAGES.names), topic_root).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         store.write(accepted(parsed), "telemetry", number)
         store.write(rejects(parsed), "rejects", number)
@@ -143,10 +155,10 @@ def process_batch(
     store.write(newest.agg(F.max("written_at").alias("written_at")), "last_seen", number)
 
     active = store.before(spark, "alerts", number).where(is_active(F.col("status")))
-    if "cmd_id" not in rows.columns:
+    if not marked or "cmd_id" not in rows.columns:
         store.write(replay_alerts(telemetry, rules, active), "alerts", number)
         return
-    commands = rows.where(F.col("cmd_id").isNotNull()).select(*schemas.RULE_COMMANDS.names)
+    commands = rows.where(F.col("source") == "command").select(*schemas.RULE_COMMANDS.names)
     alerts, outcomes = replay_with_commands(telemetry, rules, commands, active, users)
     store.write(alerts, "alerts", number)
     store.write(outcomes, "outcomes", number)

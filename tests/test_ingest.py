@@ -138,8 +138,14 @@ def test_messages_survive_files_and_kafka_columns(spark, tmp_path):
         F.col("payload").cast("binary").alias("value"),
         F.col("received_at").alias("timestamp"),
         F.col("seq").alias("offset"),
+        F.lit(0).alias("partition"),
+        F.lit(1).alias("timestampType"),
     )
     assert sorted(from_kafka(kafka).collect()) == sorted(sent.collect())
+    second = from_kafka(kafka.withColumn("partition", F.lit(3))).select("seq").collect()
+    assert {r.seq for r in second}.isdisjoint(r.seq for r in sent.collect())
+    with pytest.raises(Exception, match="LogAppendTime"):
+        from_kafka(kafka.withColumn("timestampType", F.lit(0))).collect()
 
 
 def test_telemetry_lands_in_the_store(spark, tmp_path):

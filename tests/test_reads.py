@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from fleetwatch import schemas
 from fleetwatch.functions.arguments import page_argument, telemetry_limit
 from fleetwatch.operators import reads
-from fleetwatch.sources.tables import load_tables, read_telemetry, write_telemetry_layout
+from fleetwatch.sources.tables import compact_telemetry_layout, load_tables, read_telemetry, write_telemetry_layout
 
 
 @pytest.mark.parametrize(
@@ -122,9 +122,14 @@ def test_laid_out_telemetry_prunes_days_and_skips_row_groups(spark, tmp_path, ca
 
 def test_rewriting_one_day_leaves_the_others(spark, tmp_path):
     path = str(tmp_path / "layout")
-    write_telemetry_layout(telemetry(spark, [(A[1], {}, 0), (A[1], {}, 86_400)]), path)
-    write_telemetry_layout(telemetry(spark, [(A[1], {}, 86_400), (A[1], {}, 86_401)]), path)
-    assert rows(read_telemetry(spark, path), "ts") == [(at(0),), (at(86_400),), (at(86_401),)]
+    write_telemetry_layout(telemetry(spark, [(A[1], {}, 0), (A[1], {}, 86_400)]), path, "1")
+    for _ in range(2):  # late rows, and the same batch again
+        write_telemetry_layout(telemetry(spark, [(A[1], {}, 5), (A[1], {}, 86_401)]), path, "2")
+    want = [(at(0),), (at(5),), (at(86_400),), (at(86_401),)]
+    assert rows(read_telemetry(spark, path), "ts") == want
+    compact_telemetry_layout(spark, path, str(tmp_path / "compact"))
+    joined = read_telemetry(spark, str(tmp_path / "compact"), laid_out=True)
+    assert rows(joined, "ts") == want and joined.select("batch").distinct().count() == 1
 
 
 def test_top_k_plans(spark, capsys):

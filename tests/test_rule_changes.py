@@ -120,4 +120,3 @@ def test_equals_sequential_application(spark, seed):
     result = run(spark, changes, [alert("x", RULE[2])])
     assert outcomes(result) == [want[n] for n in range(len(changes))]
     assert rows(result[0], *FIELDS) == sorted((tuple(r) for r in [*state.values(), *created]), key=repr)
-    assert T0

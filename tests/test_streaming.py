@@ -2,7 +2,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from fixtures import A, ROOT, RULE, SITE_B, T0, USER, at, rows, seed_tables, telemetry
+from fixtures import A, ROOT, RULE, T0, USER, at, rows, seed_tables, telemetry
 from pyspark.sql import functions as F
 
 from fleetwatch import schemas
@@ -15,6 +15,7 @@ from fleetwatch.streaming.engine import (
     AlertStore,
     current_alerts,
     current_last_seen,
+    mark_sources,
     process_batch,
     run_alert_stream,
 )
@@ -53,7 +54,7 @@ def test_stream_equals_batch_and_survives_restarts(spark, tmp_path):
 
 
 def commanded(spark, part, cmds):
-    return part.unionByName(spark.createDataFrame(cmds, schemas.RULE_COMMANDS), allowMissingColumns=True)
+    return mark_sources(part, spark.createDataFrame(cmds, schemas.RULE_COMMANDS))
 
 
 @pytest.mark.parametrize("seed", [5])
@@ -117,4 +118,17 @@ def test_streamed_telemetry_sink(spark, tmp_path):
     stream = accepted(parse_messages(read_messages(spark, source, streaming=True, max_files=1), ROOT))
     write_telemetry(stream, target, str(tmp_path / "checkpoint"), once=True).awaitTermination()
     assert read_telemetry(spark, target).count() == 120
-    assert SITE_B
+
+
+def test_null_topics_and_null_command_ids_are_reported(spark, tmp_path):
+    tables, store = seed_tables(spark), AlertStore(str(tmp_path))
+    good = encode_messages(telemetry(spark, [(A[1], {"power_kw": 60.0}, 0)]), ROOT).select(*schemas.MESSAGES.names)
+    keyless = good.withColumn("topic", F.lit(None).cast("string"))
+    broken = good.withColumn("payload", F.lit(None).cast("string"))
+    cmds = [(None, at(5), "acknowledge", RULE[3], USER), (2, at(6), None, RULE[3], USER)]
+    process_batch(commanded(spark, good.union(keyless).union(broken), cmds), 0, store, ROOT, tables["alert_rules"], tables["users"])
+    assert store.all(spark, "telemetry").count() == 1
+    assert rows(store.all(spark, "rejects"), "reject_reason") == [("bad_topic",), ("invalid_json",)]
+    assert rows(store.all(spark, "outcomes"), "cmd_id", "outcome") == sorted([(None, "ok"), (2, "bad_request")], key=repr)
+    process_batch(good.union(keyless), 1, store, ROOT, tables["alert_rules"])
+    assert store.batch(spark, "telemetry", 1).count() == 1 and store.batch(spark, "rejects", 1).count() == 1
