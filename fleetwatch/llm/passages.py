@@ -7,8 +7,9 @@ smallest hash of all its phrases), so equal windows have equal phrases wherever
 2.  Windows around routed phrases are confirmed by hash: a window that occurs in several documents recurs, and the
     document with the smallest id owns it. Runs of windows that recur make an owner's passages.
 3.  Each shard compiles the routed phrases of its passages into an automaton over words. Documents are streamed through
-    the automata of the shards that their own phrases are routed to; around each occurrence, words are compared with
-    the passage, and windows that are equal to windows of an owner with a smaller id are covered.
+    the automata of the shards that their own phrases are routed to, each with the stretches that windows around those
+    phrases can reach; around each occurrence, words are compared with the passage, and windows that are equal to
+    windows of an owner with a smaller id are covered.
 
 Documents without a routed phrase are finished in step 2. Shards that many documents are routed to are split; each part
 has the shard's passages.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from fleetwatch.llm.support import partitions, pieces, stored, utf8
 
 WINDOW = 50
-PHRASE = 10
+PHRASE = 40
 #: Slots of the route table, two bytes each; phrases that share a slot share a shard, which costs work only.
 ROUTE_BITS = 24
 #: Bytes of text that one part of a shard streams.
@@ -39,7 +40,6 @@ CHUNK = 2_000_000
 
 _SPAN = WINDOW - PHRASE + 1  # phrases in a window
 _ENTRY = np.dtype([("hash", "<u8"), ("low", "<i8"), ("high", "<i8")])
-_SEEN = np.dtype([("hash", "<u8"), ("key", "<i8")])
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -99,17 +99,32 @@ def singled_out(each: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return phrases, np.flatnonzero(_sliding(padded, _SPAN, np.maximum) == phrases), least
 
 
+def regions(places: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """The merged stretches of n words in which windows around phrases at these places lie."""
+    begin, end = np.maximum(places - _SPAN + 1, 0), np.minimum(places + WINDOW, n)
+    cut = np.flatnonzero(np.r_[True, begin[1:] > end[:-1]]) if len(places) else np.zeros(0, np.int64)
+    return list(zip(begin[cut].tolist(), end[np.r_[cut[1:] - 1, len(places) - 1]].tolist(), strict=True)) if len(places) else []
+
+
 def _slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - ROUTE_BITS)).astype(np.int64)
 
 
-def _dealt(rows: np.ndarray, n_buckets: int) -> list[tuple[int, bytes]]:
-    """Rows by bucket; buckets are ranges of the hash."""
-    order = np.argsort(rows["hash"], kind="stable")
-    rows = rows[order]
-    bucket = ((rows["hash"] >> np.uint64(40)).astype(np.int64) * n_buckets) >> 24
-    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(rows) else []
-    return [(int(bucket[a]), rows[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(rows)], strict=False)]
+def _dealt(ends: np.ndarray, n_buckets: int) -> list[dict]:
+    """Smallest and largest keys of hashes by bucket, a range of the hash; in order of the key, so that keys compress."""
+    two = ends[ends["low"] != ends["high"]]
+    hashes, keys = np.r_[ends["hash"], two["hash"]], np.r_[ends["low"], two["high"]]
+    bucket = ((hashes >> np.uint64(40)).astype(np.int64) * n_buckets) >> 24
+    order = np.lexsort((keys, bucket))
+    hashes, keys, bucket = hashes[order], keys[order], bucket[order]
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+    return [{"bucket": int(bucket[a]), "hashes": hashes[a:b].tobytes(), "keys": keys[a:b].tobytes()} for a, b in zip(starts, [*starts[1:], len(bucket)], strict=False)]
+
+
+def _entries(table: pa.Table) -> np.ndarray:
+    """Smallest and largest key of each hash in the rows of a bucket."""
+    hashes, keys = (b"".join(table[c].to_pylist()) for c in ("hashes", "keys"))
+    return _ends(np.frombuffer(hashes, "<u8"), np.frombuffer(keys, "<i8"))
 
 
 def _ends(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -123,25 +138,25 @@ def _ends(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-_BLOBS = "bucket int, blob binary"
+_BLOBS = "bucket int, hashes binary, keys binary"
+_BLOBS_ARROW = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("keys", pa.binary())])
+
 
+def _collect(find, n_buckets: int):
+    """Hashes that find(key, text) gives for each document, by bucket, combined in chunks."""
 
-def _phrases(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, keys, size = [], [], 0
 
         def flush():
-            found = _dealt(_ends(np.concatenate(hashes), np.concatenate(keys)), n_buckets)
-            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], names=["bucket", "blob"])
+            return pa.RecordBatch.from_pylist(_dealt(_ends(np.concatenate(hashes), np.concatenate(keys)), n_buckets), schema=_BLOBS_ARROW)
 
         for batch in pieces(batches):
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key is None:
-                    continue
-                phrases, at, _ = singled_out(word_hashes(utf8(text).split()))
-                hashes.append(np.unique(phrases[at]))
-                keys.append(np.full(len(hashes[-1]), key, np.int64))
-                size += len(hashes[-1])
+                if key is not None:
+                    hashes.append(find(text))
+                    keys.append(np.full(len(hashes[-1]), key, np.int64))
+                    size += len(hashes[-1])
             if size > CHUNK:
                 yield flush()
                 hashes, keys, size = [], [], 0
@@ -151,6 +166,21 @@ def _phrases(n_buckets: int):
     return run
 
 
+def _phrases(text: str | None) -> np.ndarray:
+    phrases, at, _ = singled_out(word_hashes(utf8(text).split()))
+    return np.unique(phrases[at])
+
+
+def _windows(routes):
+    """Windows around routed phrases."""
+
+    def find(text: str | None) -> np.ndarray:
+        each = word_hashes(utf8(text).split())
+        return np.unique(stretch_hashes(each, WINDOW)[routes.value[_slots(singled_out(each)[2])] > 0])
+
+    return find
+
+
 def route_table(texts: DataFrame, n_buckets: int, n_shards: int) -> np.ndarray:
     """One plus the shard of each slot with a phrase that several documents single out, zero for other slots.
 
@@ -158,8 +188,7 @@ def route_table(texts: DataFrame, n_buckets: int, n_shards: int) -> np.ndarray:
     """
 
     def shared(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(table["blob"].to_pylist()), _ENTRY)
-        ends = _ends(np.r_[rows["hash"], rows["hash"]], np.r_[rows["low"], rows["high"]])
+        ends = _entries(table)
         ends = ends[ends["low"] != ends["high"]]
         slots = _slots(ends["hash"])
         order = np.lexsort((ends["low"], slots))
@@ -168,7 +197,7 @@ def route_table(texts: DataFrame, n_buckets: int, n_shards: int) -> np.ndarray:
         shards = (_mix(low[first].view(np.uint64)) % np.uint64(n_shards)).astype("<u2") + np.uint16(1)
         return pa.table({"slots": pa.array([slots[first].astype("<u4").tobytes()], pa.binary()), "shards": pa.array([shards.tobytes()], pa.binary())})
 
-    found = texts.mapInArrow(_phrases(n_buckets), _BLOBS).groupBy("bucket").applyInArrow(shared, "slots binary, shards binary")
+    found = texts.mapInArrow(_collect(_phrases, n_buckets), _BLOBS).groupBy("bucket").applyInArrow(shared, "slots binary, shards binary")
     routes = np.zeros(1 << ROUTE_BITS, np.uint16)  # all that the driver gets, six bytes a slot at most
     for row in found.toLocalIterator():
         slots, shards = np.frombuffer(row["slots"], "<u4"), np.frombuffer(row["shards"], "<u2")
@@ -188,50 +217,32 @@ def _kept(words: list[bytes], spans: list[int]) -> tuple[int, int, str]:
     return len(words), len(words) - len(left), hashlib.sha256(b" ".join(left)).hexdigest()
 
 
-_SCANNED = "kind int, key long, body string, same long, size long, shards array<int>, n_words long, n_removed long, kept_sha256 string, bucket int, blob binary"
-_TYPES = {"kind": pa.int32(), "key": pa.int64(), "body": pa.string(), "same": pa.int64(), "size": pa.int64(), "shards": pa.list_(pa.int32())}
-_TYPES |= {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "bucket": pa.int32(), "blob": pa.binary()}
+_SCANNED = "kind int, key long, body string, same long, parts array<struct<shard:int,at:int,words:binary>>, n_words long, n_removed long, kept_sha256 string, bucket int"
+_TYPES = {"kind": pa.int32(), "key": pa.int64(), "body": pa.string(), "same": pa.int64()}
+_TYPES |= {"parts": pa.list_(pa.struct([("shard", pa.int32()), ("at", pa.int32()), ("words", pa.binary())]))}
+_TYPES |= {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "bucket": pa.int32()}
 
 
 def _scan(routes, n_buckets: int):
-    """Finished documents (kind 0), documents with routed phrases (1), windows that might recur (2)."""
-
-    def rows(found: list[dict]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in found], t) for c, t in _TYPES.items()], names=list(_TYPES))
+    """Finished documents (kind 0), and documents with routed phrases (kind 1) by the group of their key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, hashes, keys, size = routes.value, [], [], 0
-
-        def flush():
-            ends = _ends(np.concatenate(hashes), np.concatenate(keys))
-            two = ends[ends["low"] != ends["high"]]
-            out = np.zeros(len(ends) + len(two), _SEEN)
-            out["hash"], out["key"] = np.r_[ends["hash"], two["hash"]], np.r_[ends["low"], two["high"]]
-            return rows([{"kind": 2, "bucket": b, "blob": x} for b, x in _dealt(out, n_buckets)])
-
+        table = routes.value
         for batch in pieces(batches):
             found = []
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = utf8(text).split()
-                each = word_hashes(words)
-                phrases, at, least = singled_out(each)
+                phrases, at, _ = singled_out(word_hashes(words))
                 to = table[_slots(phrases[at])]
                 if key is None or not to.any():
                     n, gone, digest = _kept(words, [])
                     found.append({"kind": 0, "key": key, "n_words": n, "n_removed": gone, "kept_sha256": digest})
                     continue
                 same = xxhash.xxh3_64_intdigest(utf8(text)) - (1 << 63)
-                found.append({"kind": 1, "key": key, "bucket": int(_groups(np.array([key]), n_buckets)[0]), "body": text, "same": same, "size": len(text), "shards": (np.unique(to[to > 0]).astype(np.int32) - 1).tolist()})
-                window = np.unique(stretch_hashes(each, WINDOW)[table[_slots(least)] > 0])
-                hashes.append(window)
-                keys.append(np.full(len(window), key, np.int64))
-                size += len(window)
-            yield rows(found)
-            if size > CHUNK:
-                yield flush()
-                hashes, keys, size = [], [], 0
-        if hashes:
-            yield flush()
+                group = int(_groups(np.array([key]), n_buckets)[0])
+                parts = [{"shard": int(shard) - 1, "at": a, "words": b" ".join(words[a:b])} for shard in np.unique(to[to > 0]) for a, b in regions(at[to == shard], len(words))]
+                found.append({"kind": 1, "key": key, "bucket": group, "body": text, "same": same, "parts": parts})
+            yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in found], t) for c, t in _TYPES.items()], names=list(_TYPES))
 
     return run
 
@@ -244,17 +255,14 @@ def _owned(n_groups: int):
     """Windows of a bucket that several documents have, with the smallest document, packed by that document's group."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(table["blob"].to_pylist()), _SEEN)
-        ends = _ends(rows["hash"], rows["key"])
+        ends = _entries(table)
         ends = ends[ends["low"] != ends["high"]]
-        out = np.zeros(len(ends), _SEEN)
-        out["hash"], out["key"] = ends["hash"], ends["low"]
-        group = _groups(out["key"], n_groups)
-        order = np.argsort(group, kind="stable")
-        out, group = out[order], group[order]
-        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(out) else []
-        found = [(int(group[a]), out[a:b].tobytes()) for a, b in zip(starts, [*starts[1:], len(out)], strict=False)]
-        return pa.table({"bucket": pa.array([g for g, _ in found], pa.int32()), "blob": pa.array([x for _, x in found], pa.binary())})
+        group = _groups(ends["low"], n_groups)
+        order = np.lexsort((ends["low"], group))
+        ends, group = ends[order], group[order]
+        starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(ends) else []
+        cut = list(zip(starts, [*starts[1:], len(ends)], strict=False))
+        return pa.Table.from_pylist([{"bucket": int(group[a]), "hashes": ends["hash"][a:b].tobytes(), "keys": ends["low"][a:b].tobytes()} for a, b in cut], schema=_BLOBS_ARROW)
 
     return run
 
@@ -263,11 +271,12 @@ def _cut_passages(routes):
     """Passages of the owners in a group: words of runs of windows that recur, once for each shard they have phrases in."""
 
     def run(key: tuple[pa.Scalar, ...], texts: pa.Table, blobs: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(blobs["blob"].to_pylist()), _SEEN)
-        rows = rows[np.argsort(rows["key"], kind="stable")]
+        hashes, owners = (np.frombuffer(b"".join(blobs[c].to_pylist()), t) for c, t in (("hashes", "<u8"), ("keys", "<i8")))
+        order = np.argsort(owners, kind="stable")
+        hashes, owners = hashes[order], owners[order]
         out: list[list] = [[], [], []]
         for owner, text in zip(texts["key"].to_pylist(), texts["body"].to_pylist(), strict=True):
-            mine = rows["hash"][np.searchsorted(rows["key"], owner) : np.searchsorted(rows["key"], owner, "right")]
+            mine = hashes[np.searchsorted(owners, owner) : np.searchsorted(owners, owner, "right")]
             if not len(mine):
                 continue
             words = utf8(text).split()
@@ -275,9 +284,10 @@ def _cut_passages(routes):
             edge = np.flatnonzero(np.diff(np.r_[False, np.isin(stretch_hashes(each, WINDOW), mine), False].astype(np.int8)))
             for a, b in zip(edge[::2], edge[1::2] + WINDOW - 1, strict=True):
                 phrases, at, _ = singled_out(each[a:b])
-                for shard in np.unique(routes.value[_slots(phrases[at])]):
-                    if shard:
-                        for column, value in zip(out, (int(shard) - 1, owner, b" ".join(words[a:b])), strict=True):
+                to = routes.value[_slots(phrases[at])]
+                for shard in np.unique(to[to > 0]):
+                    for c, d in regions(at[to == shard], b - a):
+                        for column, value in zip(out, (int(shard) - 1, owner, b" ".join(words[a + c : a + d])), strict=True):
                             column.append(value)
         return pa.table({"shard": pa.array(out[0], pa.int32()), "key": pa.array(out[1], pa.int64()), "passage": pa.array(out[2], pa.binary())})
 
@@ -348,7 +358,7 @@ def _stream(routes):
         now, automaton = None, None
         for batch in pieces(batches):
             out: list[list] = [[], [], []]
-            for shard, part, kind, key, same, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for shard, part, kind, key, same, at, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (shard, part) != now:
                     now, automaton = (shard, part), PhraseAutomaton(routes.value, shard)
                 if kind == 0:
@@ -356,7 +366,7 @@ def _stream(routes):
                     continue
                 if automaton.automaton is None:
                     automaton.compile()
-                spans = automaton.covered(key, body.split())
+                spans = [x + at for x in automaton.covered(key, body.split())]
                 if spans:
                     for column, value in zip(out, (key, same, spans), strict=True):
                         column.append(value)
@@ -376,18 +386,19 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def recurring_spans(scanned: DataFrame, routes, n_buckets: int) -> DataFrame:
     """key, same (hash of the text) and spans of covered words (begin, end, ...) of documents with any, per shard."""
     spark = scanned.sparkSession
-    texts = scanned.where("kind = 1").select("bucket", "key", "same", "body", "size", "shards")
-    owned = scanned.where("kind = 2").select("bucket", "blob").groupBy("bucket").applyInArrow(_owned(n_buckets), _BLOBS)
+    texts = scanned.where("kind = 1").select("bucket", "key", "same", "body", "parts")
+    windows = texts.select("key", "body").mapInArrow(_collect(_windows(routes), n_buckets), _BLOBS)
+    owned = windows.groupBy("bucket").applyInArrow(_owned(n_buckets), _BLOBS)
     owners = texts.select("bucket", "key", "body").groupBy("bucket").cogroup(owned.groupBy("bucket"))
     passages = stored(owners.applyInArrow(_cut_passages(routes), "shard int, key long, passage binary"), "passages")
-    routed = texts.select("key", "same", "size", "body", F.explode("shards").alias("shard"))
-    loads = routed.groupBy("shard").agg(F.ceil(F.sum("size") / PART_BYTES).cast("int").alias("parts"))
+    routed = texts.select("key", "same", F.inline("parts"))
+    loads = routed.groupBy("shard").agg(F.ceil(F.sum(F.length("words")) / PART_BYTES).cast("int").alias("parts"))
     loads = stored(loads, "loads")  # a row for each shard
     streams = routed.join(F.broadcast(loads), "shard").select(
-        "shard", F.pmod(F.xxhash64("key", "same"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "key", "same", F.col("body").cast("binary").alias("body")
+        "shard", F.pmod(F.xxhash64("key", "same"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("kind"), "key", "same", "at", F.col("words").alias("body")
     )
     ready = passages.join(F.broadcast(loads), "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "key", F.lit(0).cast("long").alias("same"), F.col("passage").alias("body")
+        "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "key", F.lit(0).cast("long").alias("same"), F.lit(0).alias("at"), F.col("passage").alias("body")
     )
     both = ready.union(streams).repartition(partitions(spark), "shard", "part").sortWithinPartitions("shard", "part", "kind")
     return both.mapInArrow(_stream(routes), "key long, same long, spans array<int>")

@@ -101,7 +101,7 @@ def test_windows_single_out_the_same_phrase():
     each = passages.word_hashes(words)
     phrases, at, least = passages.singled_out(each)
     for w in range(len(words) - 49):
-        inside = phrases[w : w + 41]
+        inside = phrases[w : w + passages.WINDOW - passages.PHRASE + 1]
         assert least[w] == inside.min() and set(np.flatnonzero(inside == inside.min()) + w) <= set(at.tolist())
 
 
