@@ -18,7 +18,13 @@ ALNUM = bytes(
 )
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few megabytes: ten thousand long texts at once would not fit beside others in an executor."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
