@@ -1,9 +1,9 @@
 """Token ids of whole texts by the tokenizers library, with a table of chunks already encoded.
 
-A space that follows a character other than white space always starts a new pre-token in the tokenizers used here, so a
-text may be cut there and its chunks encoded on their own. Equal chunks then cost one dictionary look-up. Chunks of
-plain Latin characters are split by the tokenizer's own pattern and go straight to its model; all others, and any that
-could hold a special token, go through the whole tokenizer.
+Texts of plain Latin characters are split by the tokenizer's own pattern, and each different pre-token goes once through
+its model; equal ones then cost one dictionary look-up. Other texts, and any that could hold a special token, are cut at
+spaces that follow a character other than white space: such a space always starts a new pre-token in the tokenizers used
+here. Their chunks go through the whole tokenizer unless they are plain.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ import re
 import struct
 from functools import lru_cache
 
-import regex
 from tokenizers import Tokenizer
 
 #: A space with white space on both sides may lie inside a pre-token.
@@ -21,7 +20,9 @@ _INSIDE = re.compile(r"\s \s")
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 #: Characters whose class, case and composed form are the same in every Unicode version.
 _PLAIN = re.compile(r"[\n !-~¡-¬®-į]*")
-_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters and numbers among the plain characters.
+_LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-į", "0-9²³¹¼½¾"
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_letters() -> list[str]:
@@ -48,13 +49,14 @@ class _Table(dict):
 class TextEncoder:
     """encode(text) gives exactly the ids of Tokenizer.encode(text, add_special_tokens=False), as bytes."""
 
-    def __init__(self, path: str, entries: int = 700_000):
+    def __init__(self, path: str, entries: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
         self.special = re.compile("|".join(special) or r"(?!)").search
         self.pattern, self.lower, self.spaced = self._plan(spec)
+        self.plain = self.pattern and re.compile(self.pattern.replace(r"\p{L}", _LETTER).replace(r"\p{N}", _NUMBER)).findall
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
         self.pre_tokens = _Table(self._pre_token, entries)
@@ -66,10 +68,10 @@ class TextEncoder:
         """(pattern of pre-tokens, lower-cased?, is the space before a word part of it?); no pattern: no short cut."""
         kinds, pre = json.dumps(spec["normalizer"]), spec["pre_tokenizer"] or {}
         if pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not spec["normalizer"]:
-            return regex.compile(_BYTE_LEVEL), False, True
+            return _BYTE_LEVEL, False, True
         split = (pre.get("pretokenizers") or [{}])[0]
         if split.get("type") == "Split" and split["behavior"] == "Removed" and split["invert"] and "Lowercase" in kinds:
-            return regex.compile(split["pattern"]["Regex"]), True, False
+            return split["pattern"]["Regex"], True, False
         return None, False, False
 
     @staticmethod
@@ -86,16 +88,18 @@ class TextEncoder:
         return self.ids_of(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _chunk(self, chunk):
-        if not _PLAIN.fullmatch(chunk) or self.special(chunk):
-            return self._whole(chunk)
-        words = self.pattern.findall(chunk.lower() if self.lower else chunk)
-        return b"".join(map(self.pre_tokens.__getitem__, words))
+        return self._whole(chunk) if self.special(chunk) or not _PLAIN.fullmatch(chunk) else self._plain(chunk)
+
+    def _plain(self, text):
+        return b"".join(map(self.pre_tokens.__getitem__, self.plain(text.lower() if self.lower else text)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.pattern is None:
             return self._whole(text)
+        if _PLAIN.fullmatch(text) and not self.special(text):
+            return self._plain(text)
         if _INSIDE.search(text):
             return b"".join(map(self.first.__getitem__, _BEFORE_SPACE.split(text)))
         parts = text.split(" ")
