@@ -33,6 +33,49 @@ SELECT d.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP6 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sized AS (
+  SELECT doc_id, w, least(len(w), 5) AS n FROM words WHERE len(w) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y
+)
+SELECT d.doc_id, CAST(coalesce(max(s.n), 0) AS BIGINT) AS n_shingles, min(r.y) AS component_id
+FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), firsts AS (
+  SELECT h, min(doc_id) AS owner FROM windows GROUP BY h
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM windows JOIN firsts USING (h) WHERE owner < doc_id
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(len(w), 0) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_leaks": OP9}
+    return {"op6_jaccard": OP6, "op9_leaks": OP9, "op10_passages": OP10}
