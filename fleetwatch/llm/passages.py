@@ -176,12 +176,40 @@ def _windows(routes):
 
     def find(text: str | None) -> np.ndarray:
         each = word_hashes(utf8(text).split())
-        return np.unique(stretch_hashes(each, WINDOW)[routes.value[_slots(singled_out(each)[2])] > 0])
+        return np.unique(stretch_hashes(each, WINDOW)[routes.value.find(singled_out(each)[2]) > 0])
 
     return find
 
 
-def route_table(texts: DataFrame, n_buckets: int, n_shards: int) -> np.ndarray:
+class Routes:
+    """One plus the shard of each routed phrase, zero for others: shards by slot, and a Bloom filter of the phrases.
+
+    The filter has 2 ** (ROUTE_BITS + 4) bits; a false yes costs work only.
+    """
+
+    def __init__(self):
+        self.shards = np.zeros(1 << ROUTE_BITS, np.uint16)
+        self.bits = np.zeros(1 << (ROUTE_BITS + 1), np.uint8)
+
+    @staticmethod
+    def _places(hashes: np.ndarray) -> Iterator[np.ndarray]:
+        mask = np.uint64((1 << (ROUTE_BITS + 4)) - 1)
+        for k in range(3):
+            yield ((_mix(hashes + np.uint64(k)) >> np.uint64(7)) & mask).astype(np.int64)
+
+    def add(self, hashes: np.ndarray) -> None:
+        for at in self._places(hashes):
+            np.bitwise_or.at(self.bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        found = self.shards[_slots(hashes)]
+        maybe = np.flatnonzero(found)
+        for at in self._places(hashes[maybe]):
+            found[maybe[(self.bits[at >> 3] >> (at & 7) & 1) == 0]] = 0
+        return found
+
+
+def route_table(texts: DataFrame, n_buckets: int, n_shards: int) -> Routes:
     """One plus the shard of each slot with a phrase that several documents single out, zero for other slots.
 
     A slot's shard depends on the smallest document with such a phrase, so the phrases of copies go to the same shards.
@@ -195,14 +223,15 @@ def route_table(texts: DataFrame, n_buckets: int, n_shards: int) -> np.ndarray:
         slots, low = slots[order], ends["low"][order]
         first = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]]) if len(slots) else np.zeros(0, np.int64)
         shards = (_mix(low[first].view(np.uint64)) % np.uint64(n_shards)).astype("<u2") + np.uint16(1)
-        return pa.table({"slots": pa.array([slots[first].astype("<u4").tobytes()], pa.binary()), "shards": pa.array([shards.tobytes()], pa.binary())})
+        return pa.table({"slots": pa.array([slots[first].astype("<u4").tobytes()], pa.binary()), "shards": pa.array([shards.tobytes()], pa.binary()), "hashes": pa.array([ends["hash"].tobytes()], pa.binary())})
 
-    found = texts.mapInArrow(_collect(_phrases, n_buckets), _BLOBS).groupBy("bucket").applyInArrow(shared, "slots binary, shards binary")
-    routes = np.zeros(1 << ROUTE_BITS, np.uint16)  # all that the driver gets, six bytes a slot at most
+    found = texts.mapInArrow(_collect(_phrases, n_buckets), _BLOBS).groupBy("bucket").applyInArrow(shared, "slots binary, shards binary, hashes binary")
+    routes = Routes()  # of fixed size; buckets come to the driver one by one
     for row in found.toLocalIterator():
         slots, shards = np.frombuffer(row["slots"], "<u4"), np.frombuffer(row["shards"], "<u2")
-        free = routes[slots] == 0  # only where two buckets meet in a slot
-        routes[slots[free]] = shards[free]
+        free = routes.shards[slots] == 0  # only where two buckets meet in a slot
+        routes.shards[slots[free]] = shards[free]
+        routes.add(np.frombuffer(row["hashes"], "<u8"))
     return routes
 
 
@@ -233,7 +262,7 @@ def _scan(routes, n_buckets: int):
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = utf8(text).split()
                 phrases, at, _ = singled_out(word_hashes(words))
-                to = table[_slots(phrases[at])]
+                to = table.find(phrases[at])
                 if key is None or not to.any():
                     n, gone, digest = _kept(words, [])
                     found.append({"kind": 0, "key": key, "n_words": n, "n_removed": gone, "kept_sha256": digest})
@@ -284,7 +313,7 @@ def _cut_passages(routes):
             edge = np.flatnonzero(np.diff(np.r_[False, np.isin(stretch_hashes(each, WINDOW), mine), False].astype(np.int8)))
             for a, b in zip(edge[::2], edge[1::2] + WINDOW - 1, strict=True):
                 phrases, at, _ = singled_out(each[a:b])
-                to = routes.value[_slots(phrases[at])]
+                to = routes.value.find(phrases[at])
                 for shard in np.unique(to[to > 0]):
                     for c, d in regions(at[to == shard], b - a):
                         for column, value in zip(out, (int(shard) - 1, owner, b" ".join(words[a + c : a + d])), strict=True):
@@ -297,7 +326,7 @@ def _cut_passages(routes):
 class PhraseAutomaton:
     """Aho-Corasick automaton over the words of a shard's phrases, with the places of each phrase in passages."""
 
-    def __init__(self, routes: np.ndarray, shard: int):
+    def __init__(self, routes: Routes, shard: int):
         self.routes, self.mark = routes, shard + 1
         self.words: dict[bytes, int] = {}
         self.places: dict[tuple, dict] = {}
@@ -307,7 +336,7 @@ class PhraseAutomaton:
         words = passage.split()
         phrases, at, _ = singled_out(word_hashes(words))
         number = self.words
-        for p in at[self.routes[_slots(phrases[at])] == self.mark].tolist():
+        for p in at[self.routes.find(phrases[at]) == self.mark].tolist():
             phrase = tuple(number.setdefault(w, len(number) + 1) for w in words[p : p + PHRASE])
             before, after = words[max(0, p - _SPAN + 1) : p], words[p + PHRASE : p + WINDOW]
             around = (b" ".join(before), b" ".join(after))  # equal surroundings count once, for the smallest owner
