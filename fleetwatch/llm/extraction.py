@@ -1,7 +1,7 @@
 """Main text of web pages: a conditional random field labels the leaf blocks of the DOM, Viterbi decodes them.
 
 A leaf block is a run of text that no block element begins or ends in; scripts, styles, comments, the head and other
-parts that are never shown hold none. Its features are the tags and attribute words of its ancestors and its own text.
+parts that are never shown hold none. A head ends where HTML says, with or without its end tag. A block's features are the tags and attribute words of its ancestors and its own text.
 The field is trained on labelled pages: layouts put together from parts of known role (training_pages), filled with
 words of the corpus at hand, so the labels are certain and the text is of the right kind.
 """
@@ -27,10 +27,16 @@ SAMPLE_PAGES = 200
 SAMPLE_WORDS = 400
 LAYOUTS = 600
 
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_UNSEEN = frozenset("script style head title template noscript iframe object svg math canvas audio video datalist".split())
+_VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
+_UNSEEN = frozenset("script style head title template noscript iframe canvas audio video datalist".split())
+#: Parts of drawings and formulas that are never shown; the rest of their text is.
+_UNSEEN_IN = {"svg": frozenset(("desc", "metadata")), "math": frozenset(("annotation", "annotation-xml"))}
+#: Start tags that leave an open head open, and end tags that end it; HTML lets </head> be left out.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+_ENDS_HEAD = frozenset(("body", "html", "br"))
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img object param tspan textpath "
+    "math semantics annotation annotation-xml mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot mstyle merror mpadded mphantom menclose munder mover munderover mmultiscripts mprescripts mtable mtr mtd maction".split()
 )
 #: An opening tag that ends an open element of the same kind, up to the named containers.
 _CLOSES = {"p": ({"p"}, {"article", "section", "div", "td", "th", "li", "blockquote", "body", "aside", "nav", "footer", "header", "main", "form"})}
@@ -97,6 +103,10 @@ class _Blocks(HTMLParser):
             self.open[tag] -= 1
         del self.stack[at:]
 
+    def _end_head(self):
+        if self.stack and self.stack[-1][0] == "head":
+            self._pop(len(self.stack) - 1)
+
     def _close(self, tags, stop):
         if not any(self.open[t] for t in tags):
             return
@@ -109,6 +119,8 @@ class _Blocks(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
+        if tag not in _IN_HEAD:
+            self._end_head()
         if tag not in _INLINE:
             self.flush()
             if tag in _ENDS_P:
@@ -126,10 +138,14 @@ class _Blocks(HTMLParser):
         self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
+        if tag not in _IN_HEAD:
+            self._end_head()
         if tag not in _INLINE:
             self.flush()
 
     def handle_endtag(self, tag):
+        if tag in _ENDS_HEAD:
+            self._end_head()
         if tag not in _INLINE:
             self.flush()
         if not self.open[tag]:
@@ -140,7 +156,9 @@ class _Blocks(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if any(self.open[t] for t in _UNSEEN):
+        if self.open["head"] and data.strip(" \t\n\f\r"):
+            self._end_head()
+        if any(self.open[t] for t in _UNSEEN) or any(self.open[t] and any(self.open[u] for u in inside) for t, inside in _UNSEEN_IN.items()):
             return
         if not self.text:
             self.own = self.stack[-1][1:] if self.stack else (0, False)

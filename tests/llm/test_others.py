@@ -158,6 +158,22 @@ def test_main_text(spark, clashing):
     assert extraction.extract(odd.limit(0), extraction.fit(odd.limit(0))).count() == 0
 
 
+def test_head_without_its_end_tag():
+    head, body = "<html><head><meta charset=utf-8><title>T</title><style>s</style><template><p>no</p></template> \n", "<article><p>One two.</p></article>"
+    pages = [head + tag + body for tag in ("<body>", "", "</body>", "</html>", "<br>", "<div/>", "</head><body>", "<body><head>")]
+    pages += ["<head>" + body, head + "<script>if (a) '<p>'</script>" + body, head + "<noscript><p>no</noscript>" + body]
+    for page in pages:
+        assert [b[0] for b in extraction.leaf_blocks(page)] == ["One two."], page
+    assert [b[0] for b in extraction.leaf_blocks("<head><title>T</title>bare <b>text</b>")] == ["bare text"]
+    assert extraction.leaf_blocks(head + "<meta name=x> <link rel=y>\n") == []
+
+
+def test_text_of_formulas_drawings_and_objects():
+    page = """<p>So <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x=1</annotation></semantics></math> holds.</p>
+      <svg><title>no</title><desc>no</desc><path d="M0"/><text>A <tspan>b</tspan>c</text></svg><p>See <object data=f><param name=a>the chart</object>.<p>desc"""
+    assert [b[0] for b in extraction.leaf_blocks(page)] == ["So x=1 holds.", "A bc", "See the chart.", "desc"]
+
+
 def nearest(rows, k):
     out = {}
     good = [(i, key, np.array(v, float)) for i, (key, v) in enumerate(rows) if key is not None and v and None not in v and np.isfinite(np.array(v, float)).all() and any(v)]
