@@ -132,6 +132,25 @@ def test_rewriting_one_day_leaves_the_others(spark, tmp_path):
     assert rows(joined, "ts") == want and joined.select("batch").distinct().count() == 1
 
 
+def test_batches_without_names_leave_each_other(spark, tmp_path):
+    path, compact = str(tmp_path / "layout"), str(tmp_path / "compact")
+    late = telemetry(spark, [(A[1], {}, 5)])
+    write_telemetry_layout(telemetry(spark, [(A[1], {}, 0), (A[1], {"x": 1.0}, 10)]), path)
+    for _ in range(2):
+        write_telemetry_layout(late, path)
+    want = [(at(0),), (at(5),), (at(10),)]
+    assert sorted(rows(read_telemetry(spark, path), "ts")) == want
+    for _ in range(2):
+        compact_telemetry_layout(spark, path, compact)
+    assert sorted(rows(read_telemetry(spark, compact), "ts")) == want
+    write_telemetry_layout(telemetry(spark, [(A[1], {}, 7)]), compact)
+    write_telemetry_layout(telemetry(spark, [(A[1], {}, 8)]), compact, "all")
+    assert sorted(rows(read_telemetry(spark, compact), "ts")) == [(at(0),), (at(5),), (at(7),), (at(8),), (at(10),)]
+    name = read_telemetry(spark, compact, laid_out=True).where(F.col("batch").startswith("compacted-")).first()["batch"]
+    with pytest.raises(ValueError, match="compactions"):
+        write_telemetry_layout(late, compact, name)
+
+
 def test_top_k_plans(spark, capsys):
     tables = seed_tables(spark)
     history = telemetry(spark, [(A[1], {}, 0)])
