@@ -71,7 +71,7 @@ def _mask(tag: str, attrs: list[tuple[str, str | None]]) -> int:
     bits = 1 << _BIT[tag] if tag in _BIT else 0
     for name, value in attrs:
         if name in ("class", "id", "role", "aria-label") and value:
-            for word in _SPLIT.split(value[:200]):
+            for word in _SPLIT.split(value):
                 at = _WORD_BIT.get(word.lower())
                 if at is not None:
                     bits |= 1 << at

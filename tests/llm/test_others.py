@@ -174,6 +174,12 @@ def test_text_of_formulas_drawings_and_objects():
     assert [b[0] for b in extraction.leaf_blocks(page)] == ["So x=1 holds.", "A bc", "See the chart.", "desc"]
 
 
+def test_words_late_in_a_long_attribute():
+    for name in ("class", "id", "role", "aria-label"):
+        (_, bits, _, _), = extraction.leaf_blocks(f'<div {name}="{"px-4 " * 2000}sidebar">x</div>')
+        assert bits == extraction.leaf_blocks(f'<div {name}="sidebar">x</div>')[0][1] != 0
+
+
 def nearest(rows, k):
     out = {}
     good = [(i, key, np.array(v, float)) for i, (key, v) in enumerate(rows) if key is not None and v and None not in v and np.isfinite(np.array(v, float)).all() and any(v)]
