@@ -9,6 +9,7 @@ offset. Ranks come from range partitions and their totals, so a length that hold
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -71,57 +72,60 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
     return [(filling, times) for group in room.values() for filling, times in group.items() if times]
 
 
-def completions(count: np.ndarray, room: int, most: int = 6) -> list[tuple[int, ...]]:
-    """Undominated sets of up to three lengths that fit beside the longest, least waste first.
+def completions(count: np.ndarray, room: int, steps: list[int]) -> Iterator[tuple[Filling, int]]:
+    """(filling, waste) of `room`, of any number of lengths: least waste first, then longest first, made as they are asked for.
 
-    A set is dominated if one of no smaller total with fewer, longer members covers it: the longest single dominates
-    all singles and all pairs of no larger sum; pairs likewise dominate triples.
+    Sums that the shorter lengths can reach guide the recursion, so it meets no dead end for want of a fitting rest. Left
+    out is what a swap dominates: a free length that takes the place of one or two members, or of none, within the waste.
+    The number of recursion steps is taken off steps[0]; at 0 no more are made.
     """
-    have = np.flatnonzero(count[: room + 1])
-    have = have[have > 0]
-    if not have.size:
-        return [()]
-    single = int(have[-1])
-    found = {(single,): single}
-    if single < room:
-        a = have[::-1]
-        at = np.searchsorted(have, np.minimum(room - a, a), side="right") - 1
-        ok = at >= 0
-        a, b = a[ok], have[at[ok]]
-        same = (a == b) & (count[a] < 2)
-        if same.any():
-            at = np.searchsorted(have, b, side="left") - 1
-            b = np.where(same, np.where(at >= 0, have[at], 0), b)
-        total = a + b
-        keep = (b > 0) & (total > single)
-        a, b, total = a[keep], b[keep], total[keep]
-        order = np.lexsort((-a, -total))[:most]
-        found |= {(int(a[i]), int(b[i])): int(total[i]) for i in order}
-        best = max(found.values())
-        if best < room:
-            for x in have[::-1][:: max(1, have.size // 24)][:24]:
-                rest = room - int(x)
-                b = have[(have <= min(rest, x))][::-1]
-                at = np.searchsorted(have, np.minimum(rest - b, b), side="right") - 1
-                ok = at >= 0
-                b, c = b[ok], have[at[ok]]
-                need = (b == x).astype(int) + (c == x) + 1
-                ok = (need <= count[x]) & ((b != c) | (count[b] >= 2 + (b == x)))
-                if ok.any():
-                    sums = np.where(ok, x + b + c, 0)
-                    i = int(np.argmax(sums))
-                    if sums[i] > best:
-                        found[int(x), int(b[i]), int(c[i])] = int(sums[i])
-    ranked = sorted(found, key=lambda s: (-found[s], len(s), [-v for v in s]))
-    return ranked[:most]
-
-
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000) -> list[tuple[Filling, int]]:
+    have = [int(n) for n in np.flatnonzero(count[: room + 1])]
+    copies = {n: int(count[n]) for n in have}
+    whole = (1 << (room + 1)) - 1
+    reach = [1]  # reach[i]: sums of the i shortest lengths, as bits
+    for n in have:
+        sums, k, many = reach[-1], 1, min(copies[n], room // n)
+        while many:
+            k = min(k, many)
+            sums |= sums << n * k & whole
+            many, k = many - k, 2 * k
+        reach.append(sums)
+
+    def fill(i: int, target: int, waste: int, chosen: Filling, free: int) -> Iterator[Filling]:
+        if not target:
+            if not free >> 1 & ((1 << waste) - 1):
+                yield chosen
+            return
+        window = (1 << (waste + 1)) - 1
+        for j in range(min(i, bisect_right(have, target)), 0, -1):
+            if not reach[j] >> target & 1:
+                return
+            n = have[j - 1]
+            for c in range(min(copies[n], target // n), 0, -1):
+                if not reach[j - 1] >> target - c * n & 1:
+                    continue
+                if steps[0] <= 0:
+                    return
+                steps[0] -= 1
+                left = free & ~(1 << n) if c == copies[n] else free
+                if left >> n + 1 & window >> 1 or any(left >> m + n & window for m, _ in chosen) or (c > 1 and left >> 2 * n & window):
+                    continue
+                yield from fill(j - 1, target - c * n, waste, (*chosen, (n, c)), left)
+
+    free = sum(1 << n for n in have)
+    for waste in range(room + 1):
+        if reach[-1] >> room - waste & 1:
+            for filling in fill(len(have), room - waste, waste, (), free):
+                yield filling, waste
+
+
+def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000, steps: int = 300_000) -> list[tuple[Filling, int]]:
     """Branch and bound over completions of the longest remaining document; the best-fit plan is the first incumbent.
 
-    A node applies one completion as often as the counts allow. A branch ends when its sequences so far and the total
-    of what is left reach the incumbent, that is, when its waste is no longer affordable. The search ends at the lower
-    bound or after `nodes` nodes; the number of nodes bounds the time, not the rows.
+    A node applies one completion as often as the counts allow, then also half, a quarter, ... as often, down to once. A
+    branch ends when its sequences so far and the total of what is left reach the incumbent, that is, when its waste is
+    no longer affordable. The search ends at the lower bound, after `nodes` nodes or after `steps` steps of completions;
+    these bound the time, not the rows.
     """
     best = best_fit(counts, capacity)
     best_n, bound = sum(t for _, t in best), lower_bound(counts, capacity)
@@ -132,18 +136,29 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000) ->
     path: list[tuple[Filling, int]] = []
     choices: list[Iterator] = []
     used = spent = 0
+    budget = [steps]
 
     def branch():
         longest = int(np.flatnonzero(count)[-1])
         count[longest] -= 1
-        options = completions(count, capacity - longest)
+        rest = count.copy()
         count[longest] += 1
-        return iter([Counter((longest, *o)) for o in options])
+        again: list[tuple[Counter, int]] = []
+        for filling, waste in completions(rest, capacity - longest, budget):
+            if used + 1 + -(-(left - capacity + waste) // capacity) >= best_n:
+                break  # nor is any greater waste affordable
+            members = Counter(dict(filling))
+            members[longest] += 1
+            fewer = [(m, t // 2) for m, t in again if t > 1]
+            again = [*fewer, (members, min(int(count[n]) // c for n, c in members.items()))]
+            yield from reversed(again)
+        while again := [(m, t // 2) for m, t in again if t > 1]:
+            yield from reversed(again)
 
     if left and best_n > bound:
         choices.append(branch())
     while choices and best_n > bound and spent < nodes:
-        filling = next(choices[-1], None)
+        filling, times = next(choices[-1], (None, 0))
         if filling is None:
             choices.pop()
             if path:
@@ -154,7 +169,6 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000) ->
                 used -= times
             continue
         spent += 1
-        times = min(int(count[n]) // c for n, c in filling.items())
         size = sum(n * c for n, c in filling.items()) * times
         if used + times + -(-(left - size) // capacity) >= best_n:
             continue

@@ -128,6 +128,17 @@ def test_bin_completion():
     assert worse <= 3
 
 
+def test_fillings_of_many_lengths():
+    lengths = np.random.default_rng(1).integers(200, 400, 400).tolist()
+    plan = packing.bin_completion(Counter(lengths), 2048)
+    assert sum((Counter({n: c * t}) for f, t in plan for n, c in f), Counter()) == Counter(lengths)
+    assert sum(t for _, t in plan) == packing.lower_bound(Counter(lengths), 2048) < sum(t for _, t in packing.best_fit(Counter(lengths), 2048))
+    count = np.bincount([9, 9, 8, 7, 6, 5, 4, 2], minlength=42)
+    full = [f for f, waste in packing.completions(count, 41, [10_000]) if not waste]
+    assert full and all(sum(n * c for n, c in f) == 41 and all(c <= count[n] for n, c in f) for f in full)
+    assert max(len(f) for f in full) >= 4
+
+
 def test_one_length_of_many_rows():
     plan = packing.bin_completion({700: 3_000_000, 648: 1_500_000}, 2048)
     assert sum(t for _, t in plan) == 1_500_000
