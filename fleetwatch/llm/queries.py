@@ -8,13 +8,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetwatch.llm import extraction, jaccard, leaks, neighbours, packing, passages, pii, planes, quality, shards
+from fleetwatch.llm import (
+    extraction,
+    jaccard,
+    leaks,
+    lexical,
+    neighbours,
+    packing,
+    passages,
+    pii,
+    planes,
+    quality,
+    resampling,
+    shards,
+    urls,
+)
 from fleetwatch.llm.support import table
 from fleetwatch.llm.tokens import encoder
 from fleetwatch.session import scratch_path
 
 N_SHARDS = 24
 SEQUENCE = 2048
+URL_RULES = [
+    urls.Rule(urls.ALLOW, "com"),
+    urls.Rule(urls.BLOCK, "example.com", "/en/"),
+    urls.Rule(urls.ALLOW, "www.example.com", "/en/"),
+    urls.Rule(urls.BLOCK, "net", "/es/"),
+    urls.Rule(urls.BLOCK, "net", "/fr/"),
+]
 
 
 def encode_with(name: str):
@@ -75,5 +96,19 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_recurring(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").cast("long").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
+
+
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed("key", "page_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_planes, op2_extraction, op3_pii, op4_shards, op5_packing, op6_jaccard, op7_quality, op8_neighbours, op9_leaks, op10_passages)}
+    return {f.__name__: f for f in (op1_planes, op2_extraction, op3_pii, op4_shards, op5_packing, op6_jaccard, op7_quality, op8_neighbours, op9_leaks, op10_passages, op11_resampling, op12_lexical, op13_urls)}
