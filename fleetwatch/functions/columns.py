@@ -34,17 +34,29 @@ def is_active(status: Column) -> Column:
 
 def instant(at: Column) -> Column:
     """The instant of a time column, the same in every session: a time without a zone is UTC."""
-    zoneless = F.concat(at.cast("string"), F.lit("Z")).try_cast("timestamp")
-    return F.when(F.typeof(at) == "timestamp_ntz", zoneless).otherwise(at.cast("timestamp"))
+    return F.when(F.typeof(at) == "timestamp_ntz", F.timestamp_micros(_clock_micros(at))).otherwise(at.cast("timestamp"))
 
 
 def micros(at: Column) -> Column:
-    return F.unix_micros(instant(at))
+    """Microseconds since 1970 of the instant."""
+    return F.when(F.typeof(at) == "timestamp_ntz", _clock_micros(at)).otherwise(F.unix_micros(at.cast("timestamp")))
+
+
+def _clock_micros(at: Column) -> Column:
+    """Microseconds that a time without a zone lies after the start of 1970, by whole fields: no text, no zone."""
+    since = at.cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    days, hours, minutes, seconds = (F.extract(F.lit(unit), since) for unit in ("DAY", "HOUR", "MINUTE", "SECOND"))
+    return ((days.cast("long") * 24 + hours) * 60 + minutes) * 60_000_000 + (seconds * 1_000_000).cast("long")
 
 
 def utc_date(at: Column) -> Column:
     """The UTC day of a time column, the same in every session."""
-    return F.date_from_unix_date(F.floor(F.unix_seconds(instant(at)) / F.lit(86_400)).cast("int"))
+    return F.date_from_unix_date(whole(micros(at), 86_400_000_000).cast("int"))
+
+
+def whole(number: Column, size: int) -> Column:
+    """How many times `size` goes into a whole number, rounded down."""
+    return F.call_function("div", number - F.pmod(number, F.lit(size)), F.lit(size))
 
 
 def utc_clock(at: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from fleetwatch.functions.columns import instant
+from fleetwatch.functions.columns import micros, whole
 
 STRETCH_SECONDS = 600
 _BEFORE_ALL = -(2**62)
@@ -19,8 +19,7 @@ _STRETCH = "_stretch"
 
 def stretch(at: Column, seconds: int) -> Column:
     """Number of the time stretch; rows without a time come before all others."""
-    number = F.floor(F.unix_seconds(instant(at)) / F.lit(seconds)).cast("long")
-    return F.coalesce(number, F.lit(_BEFORE_ALL))
+    return F.coalesce(whole(micros(at), seconds * 1_000_000), F.lit(_BEFORE_ALL))
 
 
 def nearest(
@@ -38,13 +37,11 @@ def nearest(
     the aggregate.
     """
     earlier, later = earlier or {}, later or {}
-    wanted = {**earlier, **later}
-    rows = rows.withColumns(
-        {_STRETCH: stretch(F.col(order[0]), seconds), **{f"_in_{name}": v for name, v in wanted.items()}}
-    )
+    wanted = {f"_in_{name}": value for name, value in {**earlier, **later}.items()}
+    rows = rows.withColumn(_STRETCH, stretch(F.col(order[0]), seconds))
 
     place = F.struct(*order)
-    edges = rows.groupBy(key, _STRETCH).agg(
+    edges = rows.withColumns(wanted).groupBy(key, _STRETCH).agg(
         *[
             pick(f"_in_{name}", F.when(F.col(f"_in_{name}").isNotNull(), place)).alias(f"_in_{name}")
             for names, pick in ((earlier, F.max_by), (later, F.min_by))
@@ -66,8 +63,10 @@ def nearest(
         for names, window in ((earlier, forward), (later, backward))
         for name in names
     }
-    joined = rows.join(carried, [key, _STRETCH], "left").withColumns(found)
-    return joined.drop(_STRETCH, *[f"_{side}_{name}" for side in ("in", "out") for name in wanted])
+    # The values wanted are built behind the shuffle, which carries only the rows' own columns.
+    dealt = rows.repartition(key, _STRETCH).withColumns(wanted)
+    joined = dealt.join(carried, [key, _STRETCH], "left").withColumns(found)
+    return joined.drop(_STRETCH, *wanted, *[f"_out_{name}" for name in {**earlier, **later}])
 
 
 def _before(*keys: str) -> WindowSpec:

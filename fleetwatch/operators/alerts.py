@@ -57,7 +57,7 @@ def auto_resolve(alerts: DataFrame, decisions: DataFrame) -> DataFrame:
     )
 
 
-def _readings(telemetry: DataFrame, rules: DataFrame) -> DataFrame:
+def judged_readings(telemetry: DataFrame, rules: DataFrame) -> DataFrame:
     return evaluate(match_rules(telemetry, enabled_rules(rules))).select(
         "alert_rule_id",
         "device_id",
@@ -145,6 +145,31 @@ def _timeline(
     return rows.withColumns({"event": event, "ack": F.when(in_time, F.col("ack"))})
 
 
+def _edges(readings: DataFrame, initial_alerts: DataFrame | None, seconds: int, *facts: str) -> DataFrame:
+    """Readings that change their rule's state, and carried rows, with the time at which the alert they open ends.
+
+    Without commands five columns are enough: rule, time, sequence, value and whether the rule is broken.
+    """
+    rows = readings.select("alert_rule_id", "received_at", "seq", "value", "breached", *facts)
+    if initial_alerts is not None:
+        # A carried row has no time, so it comes before all others, and no value.
+        rows = rows.withColumn("kind", F.lit("reading")).unionByName(_carried(initial_alerts), allowMissingColumns=True)
+    cleared = F.when(~F.col("breached"), F.col("received_at"))
+    rows = nearest(rows, "alert_rule_id", ["received_at", "seq"], {"was": F.col("breached")}, {"cleared": cleared}, seconds)
+    event = decision(F.col("breached"), F.coalesce("was", F.lit(False)))
+    if initial_alerts is not None:
+        event = F.when(F.col("kind") == "carried", "carried").otherwise(event)
+    return rows.withColumn("event", event).where("event IS NOT NULL")
+
+
+def _facts(edges: DataFrame, rules: DataFrame) -> DataFrame:
+    """Edges with the device and the severity of their rule."""
+    facts = rules.select(
+        canonical_id(F.col("id")).alias("alert_rule_id"), canonical_id(F.col("device_id")).alias("device_id"), "severity"
+    )
+    return edges.join(facts.dropDuplicates(["alert_rule_id"]), "alert_rule_id", "left")
+
+
 def alert_transitions(
     telemetry: DataFrame,
     rules: DataFrame,
@@ -152,8 +177,8 @@ def alert_transitions(
     seconds: int = STRETCH_SECONDS,
 ) -> DataFrame:
     """Every create and auto-resolve of a history."""
-    rows = _timeline(_readings(telemetry, rules), initial_alerts, seconds)
-    return rows.where(F.col("event").isin("create", "auto_resolve")).select(
+    edges = _edges(judged_readings(telemetry, rules), initial_alerts, seconds).where(F.col("event") != "carried")
+    return _facts(edges, rules).select(
         "alert_rule_id", "device_id", "severity", "received_at", "seq", "value", F.col("event").alias("decision")
     )
 
@@ -165,7 +190,24 @@ def replay_alerts(
     seconds: int = STRETCH_SECONDS,
 ) -> DataFrame:
     """The alert table after a history of readings: when each alert opened and when it cleared."""
-    return _alerts(_timeline(_readings(telemetry, rules), initial_alerts, seconds), initial_alerts)
+    edges = _edges(judged_readings(telemetry, rules), initial_alerts, seconds).where(F.col("event") != "auto_resolve")
+    return _alerts(_unattended(_facts(edges, rules)), initial_alerts)
+
+
+def replay_readings(readings: DataFrame, initial_alerts: DataFrame | None = None, seconds: int = STRETCH_SECONDS) -> DataFrame:
+    """replay_alerts for readings that are judged already, which carry the device and severity of their moment.
+
+    readings: alert_rule_id, device_id, severity, received_at, seq, value, breached.
+    """
+    edges = _edges(readings, initial_alerts, seconds, "device_id", "severity").where(F.col("event") != "auto_resolve")
+    return _alerts(_unattended(edges), initial_alerts)
+
+
+def _unattended(edges: DataFrame) -> DataFrame:
+    """Edges as rows of a timeline without people."""
+    at, nobody = F.col("cleared"), F.lit(None).cast("string").alias("user_id")
+    end = F.when(at.isNotNull(), F.struct(at.alias("received_at"), nobody))
+    return edges.withColumns({"end": end, "ack": F.when(F.lit(False), end)})
 
 
 def replay_with_commands(
@@ -181,10 +223,31 @@ def replay_with_commands(
     A command addresses the active alert of its rule. Resolving while the reading still breaks the
     rule lets the next such reading open a new alert.
     """
-    rows = _timeline(_readings(telemetry, rules), initial_alerts, seconds, _commands(commands, users))
+    return replay_readings_with_commands(judged_readings(telemetry, rules), commands, initial_alerts, users, seconds)
+
+
+def replay_readings_with_commands(
+    readings: DataFrame,
+    commands: DataFrame,
+    initial_alerts: DataFrame | None = None,
+    users: DataFrame | None = None,
+    seconds: int = STRETCH_SECONDS,
+) -> tuple[DataFrame, DataFrame]:
+    """replay_with_commands for readings that are judged already, as in replay_readings."""
+    marked = readings.withColumns({"rank": F.lit(_READING), "kind": F.lit("reading")})
+    rows = _timeline(marked, initial_alerts, seconds, _commands(commands, users))
     return _alerts(rows, initial_alerts), _outcomes(rows, initial_alerts)
 
 
+def resolved_timeline(readings: DataFrame, initial_alerts: DataFrame, resolves: DataFrame, seconds: int = STRETCH_SECONDS) -> DataFrame:
+    """The timeline of readings and of resolves that all work; resolves: alert_rule_id, received_at, seq, user_id."""
+    deeds = resolves.select(
+        "alert_rule_id", "received_at", F.lit(_COMMAND).alias("rank"), "seq", F.lit("resolve").alias("kind"), "user_id", F.lit(None).cast("string").alias("refusal")
+    )
+    marked = readings.withColumns({"rank": F.lit(_READING), "kind": F.lit("reading")})
+    return _timeline(marked, initial_alerts, seconds, deeds)
+
+
 def _alerts(rows: DataFrame, initial_alerts: DataFrame | None) -> DataFrame:
     fresh = _as_alerts(
         rows.where(F.col("event") == "create"),

@@ -230,6 +230,111 @@ _FIRST_WRITE = f"""
     )"""
 
 _FACTS = ", ".join(q._ALERT_FACTS)
+
+
+def _rule_versions(telemetry: str) -> str:
+    """Versions with the times between which they count, and changes judged by the first alert and the first delete."""
+    return f"""
+    t_changes AS (
+        SELECT event_id AS chg_id, ts + INTERVAL 3 HOUR AS chg_ts,
+               CASE WHEN x % 5 = 0 THEN 'create' WHEN x % 5 < 4 THEN 'update' ELSE 'delete' END AS action,
+               CASE WHEN x % 29 = 0 THEN 'bad id!' WHEN x % 5 <> 0 THEN CAST(user_id * 10 + x % 7 AS VARCHAR) END AS rule_id,
+               CASE WHEN x % 23 <> 0 THEN CAST(user_id AS VARCHAR) ELSE '999999999' END AS device_id,
+               CASE WHEN x % 31 <> 0 THEN ['click', 'view', 'purchase', 'error'][CAST(x % 4 + 1 AS INTEGER)] END AS metric,
+               CASE WHEN event_id % 11 = 0 THEN 'eq' ELSE ['gt', 'lt', 'gte', 'lte'][CAST(event_id % 4 + 1 AS INTEGER)] END AS operator,
+               CASE WHEN x % 3 <> 0 THEN value END AS threshold, CASE WHEN event_id % 17 = 0 THEN 'fatal' ELSE 'critical' END AS severity,
+               CASE WHEN x % 6 <> 0 THEN x % 7 <> 0 END AS enabled
+        FROM (SELECT *, event_id * 7 + user_id * 3 AS x FROM events)
+    ),
+    t_known AS (
+        SELECT c.*, c.operator <> 'eq' AND c.severity <> 'fatal' AS words, r.device_id AS home, d.id IS NOT NULL AS housed
+        FROM t_changes c LEFT JOIN v_rules r ON r.id = c.rule_id LEFT JOIN v_devices d ON d.id = c.device_id
+    ),
+    t_images AS (
+        SELECT id AS rule, device_id, metric, operator, threshold, severity, enabled, TIMESTAMP '0001-01-01' AS since, 0 AS n FROM v_rules
+        UNION ALL
+        SELECT CASE action WHEN 'create' THEN {_uuid("concat_ws('|', 'rule', epoch_us(chg_ts), chg_id)")} ELSE rule_id END,
+               CASE action WHEN 'create' THEN device_id ELSE home END, coalesce(metric, ''), operator, coalesce(threshold, 0), severity,
+               coalesce(enabled, true), chg_ts, chg_id
+        FROM t_known
+        WHERE words AND ((action = 'create' AND metric IS NOT NULL AND housed) OR (action = 'update' AND home IS NOT NULL))
+    ),
+    t_versions AS (
+        SELECT *, coalesce(lead(since) OVER (PARTITION BY rule ORDER BY since, n), TIMESTAMP '9999-01-01') AS until FROM t_images
+    ),
+    t_matches AS (
+        SELECT v.rule AS alert_rule_id, t.device_id, v.severity, v.operator, v.threshold, t.value, t.received_at, t.seq, {_BREACHED} AS breached
+        FROM {telemetry} t JOIN t_versions v ON v.device_id = t.device_id AND v.metric = t.metric AND t.received_at >= since AND t.received_at < until
+        WHERE v.enabled
+    ),
+    t_gone AS (
+        SELECT rule_id AS rule, min((chg_ts, chg_id)) AS first, any_value(opened) IS NULL OR min(chg_ts) <= any_value(opened) AS gone
+        FROM t_known LEFT JOIN (SELECT alert_rule_id, min(received_at) AS opened FROM t_matches WHERE breached GROUP BY 1) ON alert_rule_id = rule_id
+        WHERE action = 'delete' AND home IS NOT NULL GROUP BY rule_id
+    ),
+    t_judged AS (
+        SELECT c.*, CASE WHEN action = 'create' THEN CASE WHEN metric IS NOT NULL AND words AND housed THEN 'ok' ELSE 'bad_request' END
+            WHEN rule_id = 'bad id!' THEN 'invalid_id' WHEN home IS NULL OR (gone AND (chg_ts, chg_id) > first) THEN 'not_found'
+            WHEN action = 'delete' AND NOT gone THEN 'conflict' WHEN action = 'update' AND NOT words THEN 'bad_request' ELSE 'ok' END AS outcome
+        FROM t_known c LEFT JOIN t_gone ON rule = rule_id
+    ),
+    t_live AS (SELECT * FROM t_matches WHERE alert_rule_id NOT IN (SELECT rule FROM t_gone WHERE gone))"""
+
+
+_TIMED = _rule_versions("v_telemetry")
+_TIMED_STREAM = _rule_versions("(SELECT * FROM v_parsed WHERE reject_reason IS NULL)")
+
+
+def _addressed(live: str) -> str:
+    """Readings and commands one after the other: which alert is the rule's active one, and is it acknowledged?"""
+    return f"""
+    c_rows AS (
+        SELECT alert_rule_id, received_at AS t, 0 AS rank, seq, breached, NULL::BIGINT AS target, NULL::VARCHAR AS action, NULL::VARCHAR AS who,
+               NULL::BOOLEAN AS bad FROM {live}
+        UNION ALL
+        SELECT alert_rule_id, received_at + INTERVAL 5 HOUR, 1, seq * 10 + CAST(alert_rule_id AS BIGINT) % 10, NULL, seq,
+               CASE WHEN x % 3 <> 1 THEN 'resolve' ELSE 'acknowledge' END, CASE WHEN x % 11 <> 0 THEN CAST(x % 12 AS VARCHAR) END, x % 19 = 0
+        FROM (SELECT *, seq + CAST(alert_rule_id AS BIGINT) % 10 AS x FROM v_live WHERE breached)
+    ),
+    c_placed AS (
+        SELECT c.*, u.id IS NOT NULL AS known, row_number() OVER (PARTITION BY alert_rule_id ORDER BY t, rank, seq) AS k
+        FROM c_rows c LEFT JOIN v_users u ON u.id = c.who
+    ),
+    c_steps AS (
+        SELECT alert_rule_id, 0::BIGINT AS k, NULL::BIGINT AS was, false AS seen, NULL::BIGINT AS now, false AS acked FROM c_placed WHERE k = 1
+        UNION ALL
+        SELECT r.alert_rule_id, r.k, s.now, s.acked,
+               CASE WHEN rank = 0 AND breached THEN coalesce(s.now, r.seq) WHEN rank = 0 THEN NULL
+                    WHEN known AND NOT bad AND action = 'resolve' AND target = s.now THEN NULL ELSE s.now END,
+               CASE WHEN rank = 0 THEN s.acked AND breached AND s.now IS NOT NULL
+                    ELSE s.acked OR (known AND NOT bad AND action = 'acknowledge' AND coalesce(target = s.now, false)) END
+        FROM c_steps s JOIN c_placed r ON r.alert_rule_id = s.alert_rule_id AND r.k = s.k + 1
+    ),
+    c_done AS (SELECT r.*, s.was, s.seen, s.now, s.acked FROM c_placed r JOIN c_steps s USING (alert_rule_id, k)),
+    c_open AS (SELECT alert_rule_id, seq, t, k FROM c_done WHERE rank = 0 AND breached AND was IS NULL),
+    c_ends AS (SELECT alert_rule_id, was AS seq, min(k) AS k, arg_min(t, k) AS t, arg_min(CASE WHEN rank = 1 THEN who END, k) AS who, arg_min(rank, k) AS by_hand
+        FROM c_done WHERE was IS NOT NULL AND now IS NULL GROUP BY alert_rule_id, was),
+    c_acks AS (SELECT alert_rule_id, was AS seq, t, who FROM c_done WHERE rank = 1 AND now IS NOT NULL AND acked AND NOT seen),
+    c_alerts AS (
+        SELECT {_uuid("concat_ws('|', o.alert_rule_id, epoch_us(o.t), o.seq)")} AS id, o.alert_rule_id, m.device_id, m.value AS triggered_value, m.severity,
+               CASE WHEN e.seq IS NOT NULL THEN 'resolved' WHEN a.seq IS NOT NULL THEN 'acknowledged' ELSE 'open' END AS status, o.t AS triggered_at,
+               a.t AS acknowledged_at, a.who AS acknowledged_by, e.t AS resolved_at, CASE WHEN e.by_hand = 1 THEN e.who END AS resolved_by
+        FROM c_open o JOIN {live} m ON m.alert_rule_id = o.alert_rule_id AND m.seq = o.seq
+        LEFT JOIN c_ends e ON e.alert_rule_id = o.alert_rule_id AND e.seq = o.seq LEFT JOIN c_acks a ON a.alert_rule_id = o.alert_rule_id AND a.seq = o.seq
+    ),
+    c_outcomes AS (
+        SELECT c.seq AS cmd_id, c.t AS cmd_ts, c.action,
+               CASE WHEN bad THEN 'no such id!' ELSE {_uuid("concat_ws('|', c.alert_rule_id, epoch_us(c.t - INTERVAL 5 HOUR), c.target)")} END AS alert_id,
+               c.who AS user_id,
+               CASE WHEN c.who IS NULL THEN 'bad_request' WHEN bad THEN 'invalid_id' WHEN o.seq IS NULL OR o.k > c.k THEN 'not_found'
+                    WHEN c.was IS DISTINCT FROM c.target OR (c.action = 'acknowledge' AND c.seen) THEN 'conflict'
+                    WHEN NOT c.known THEN 'invalid_user' ELSE 'ok' END AS outcome
+        FROM c_done c LEFT JOIN c_open o ON o.alert_rule_id = c.alert_rule_id AND o.seq = c.target WHERE c.rank = 1
+    )"""
+
+
+_STREAMED = f"""v_stored AS (SELECT m.* REPLACE (p.value AS value) FROM v_live m JOIN v_parsed p ON p.seq = m.seq WHERE p.reject_reason IS NULL),
+    v_judged AS (SELECT * EXCLUDE (breached), {_BREACHED} AS breached FROM v_stored)"""
 _START, _END = parse_rfc3339(q.FROM), parse_rfc3339(q.TO)
 _POINT = "device_id, metric, value, ts, received_at"
 
@@ -363,6 +468,23 @@ _BODIES = {
         v_streamed AS ({_replay("v_judged")})""",
         f"SELECT {_FACTS} FROM v_streamed",
     ),
+    "alert_stream_commits": (
+        ",\n".join([_STREAMED, *[f"v_until{n} AS (SELECT * FROM v_judged WHERE received_at < TIMESTAMP '{cut}'), v_state{n} AS ({_replay(f'v_until{n}')})" for n, cut in enumerate(q.CUTS, 1)]]),
+        " UNION ALL ".join(f"SELECT {n} AS batches, {_FACTS} FROM v_state{n}" for n in range(1, len(q.CUTS) + 1)),
+    ),
+    "alert_stream_rules": (f"{_TIMED_STREAM}, t_alerts AS ({_replay('t_live')})", f"SELECT id, {_FACTS} FROM t_alerts"),
+    "alert_replay_rule_versions": (f"{_TIMED}, t_alerts AS ({_replay('t_live')})", f"SELECT id, {_FACTS} FROM t_alerts"),
+    "rule_version_outcomes": (_TIMED, "SELECT chg_id, chg_ts, action, rule_id, outcome FROM t_judged"),
+    "rules_after_versions": (
+        _TIMED,
+        """SELECT i.rule AS id, i.device_id, i.metric, i.operator, i.threshold, i.severity, i.enabled,
+        CASE WHEN b.id IS NOT NULL THEN TIMESTAMP '2024-01-01' ELSE i.since END AS created_at
+        FROM t_versions i LEFT JOIN v_rules b ON b.id = i.rule
+        WHERE i.rule NOT IN (SELECT rule FROM t_gone WHERE gone) AND until = TIMESTAMP '9999-01-01'""",
+    ),
+    "alert_stream_commands": (f"{_STREAMED}, {_addressed('v_judged')}", "SELECT * FROM c_alerts"),
+    "alert_replay_by_id": (_addressed("v_live"), "SELECT * FROM c_alerts"),
+    "alert_id_outcomes": (_addressed("v_live"), "SELECT * FROM c_outcomes"),
     "last_seen_writes": ("v_w AS (" + _FIRST_WRITE + " SELECT * FROM v_writes WHERE written_at IS NOT NULL)", "SELECT * FROM v_w"),
     "device_last_seen": (
         "v_w AS (" + _FIRST_WRITE + " SELECT device_id, max(written_at) AS newest FROM v_writes GROUP BY device_id)",
@@ -542,5 +664,5 @@ def oracle_sql() -> dict[str, str]:
     for name, body in _BODIES.items():
         extra, select = body if isinstance(body, tuple) else ("", body)
         steps = [f"{v} AS ({_VIEWS[v]})" for v in _needed(extra + select)] + ([extra] if extra else [])
-        result[name] = "WITH " + ",\n".join(steps) + "\n" + select
+        result[name] = "WITH RECURSIVE " + ",\n".join(steps) + "\n" + select
     return result

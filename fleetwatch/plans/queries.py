@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwatch.operators import addressed as D
 from fleetwatch.operators import alerts as A
 from fleetwatch.operators import commands as M
 from fleetwatch.operators import ingest as I
@@ -15,6 +16,7 @@ from fleetwatch.operators import liveness as L
 from fleetwatch.operators import quality as C
 from fleetwatch.operators import reads as Q
 from fleetwatch.operators import rule_changes as R
+from fleetwatch.operators import rule_versions as V
 from fleetwatch.operators import rules as U
 from fleetwatch.plans.views import ID_PATTERN, TOPIC_ROOT, Views
 from fleetwatch.session import scratch_path
@@ -38,6 +40,8 @@ CONTRACT = {
     "AUTOMOBILE": ["view"],
 }
 BOUNDS = {"click": (2.0, 60.0), "error": (0.0, 35.5), "purchase": (10.0, 200.0), "view": (1.0, 1.0)}
+#: Where streamed histories are cut into batches.
+CUTS = ["2024-01-08", "2024-01-18"]
 _ALERT_FACTS = ["alert_rule_id", "device_id", "triggered_value", "severity", "status", "triggered_at", "resolved_at"]
 
 
@@ -139,6 +143,65 @@ def _alert_stream_rejects(v: Views) -> DataFrame:
     return store.all(v.spark, "rejects").select("topic", "received_at", "seq", "reject_reason")
 
 
+def _cut(rows: DataFrame, at: str) -> list[DataFrame]:
+    """Rows of each batch, by their time."""
+    edges = [None, *[F.lit(c).cast("timestamp_ntz") for c in CUTS], None]
+    inside = lambda a, b: (F.lit(True) if a is None else F.col(at) >= a) & (F.lit(True) if b is None else F.col(at) < b)
+    return [rows.where(inside(a, b)) for a, b in zip(edges, edges[1:])]
+
+
+class _Unfinished(Exception):
+    """Stands for a failure just before a batch's commit."""
+
+
+def _alert_stream_commits(v: Views) -> DataFrame:
+    """Alerts that a reader finds while each batch is written in full but not committed; the batch then runs again."""
+    store, seen = E.AlertStore(scratch_path(v.spark, "alerts")), None
+
+    def fail():
+        raise _Unfinished
+
+    for number, part in enumerate(_cut(v.messages, "received_at")):
+        try:
+            E.process_batch(part, number, store, TOPIC_ROOT, v.rules, before_commit=fail)
+        except _Unfinished:
+            found = E.current_alerts(v.spark, store).select(F.lit(number).alias("batches"), *_ALERT_FACTS)
+            folder = scratch_path(v.spark, "seen")
+            found.write.parquet(folder)
+            found = v.spark.read.schema(found.schema).parquet(folder)
+            seen = found if seen is None else seen.unionByName(found)
+        E.process_batch(part, number, store, TOPIC_ROOT, v.rules)
+    return seen
+
+
+def _alert_stream_rules(v: Views) -> DataFrame:
+    """Messages and rule changes through one stream, in three batches."""
+    store = E.AlertStore(scratch_path(v.spark, "alerts"))
+    parts = zip(_cut(v.messages, "received_at"), _cut(v.timed_changes, "chg_ts"))
+    for number, (messages, changes) in enumerate(parts):
+        rows = E.mark_sources(messages, changes=changes)
+        E.process_batch(rows, number, store, TOPIC_ROOT, v.rules, devices=v.devices, id_pattern=ID_PATTERN)
+    return E.current_alerts(v.spark, store).select("id", *_ALERT_FACTS)
+
+
+def _alert_stream_commands(v: Views) -> DataFrame:
+    """Messages and commands by alert id through one stream, in three batches."""
+    store = E.AlertStore(scratch_path(v.spark, "alerts"))
+    parts = zip(_cut(v.messages, "received_at"), _cut(v.alert_commands, "cmd_ts"))
+    for number, (messages, commands) in enumerate(parts):
+        rows = E.mark_sources(messages, commands)
+        E.process_batch(rows, number, store, TOPIC_ROOT, v.rules, v.users, id_pattern=ID_PATTERN)
+    return E.current_alerts(v.spark, store)
+
+
+def _rule_versions(v: Views) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return V.replay_with_rule_changes(v.telemetry, v.rules, v.devices, v.timed_changes, id_pattern=ID_PATTERN)
+
+
+def _addressed(v: Views) -> tuple[DataFrame, DataFrame]:
+    return D.replay_addressed(A.judged_readings(v.telemetry, v.rules), v.alert_commands, users=v.users, id_pattern=ID_PATTERN)
+
+
 def _rule_decisions(v: Views) -> DataFrame:
     return U.decide(
         U.match_rules(v.newest_messages, U.enabled_rules(v.rules)), U.active_rules(v.earlier_alerts)
@@ -237,6 +300,14 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "alert_lifecycle_outcomes": lambda v: A.replay_with_commands(v.telemetry, v.rules, v.rule_commands)[1],
     "alert_stream": _alert_stream,
     "alert_stream_rejects": _alert_stream_rejects,
+    "alert_stream_commits": _alert_stream_commits,
+    "alert_stream_rules": _alert_stream_rules,
+    "alert_stream_commands": _alert_stream_commands,
+    "alert_replay_rule_versions": lambda v: _rule_versions(v)[0].select("id", *_ALERT_FACTS),
+    "rule_version_outcomes": lambda v: _rule_versions(v)[2],
+    "rules_after_versions": lambda v: _rule_versions(v)[1],
+    "alert_replay_by_id": lambda v: _addressed(v)[0],
+    "alert_id_outcomes": lambda v: _addressed(v)[1],
     "last_seen_writes": lambda v: L.last_seen_writes(v.telemetry, gap_seconds=GAP_SECONDS),
     "device_last_seen": lambda v: _last_seen(v).select("id", "name", "last_seen_at"),
     "list_sites": lambda v: Q.list_sites(v.sites),

@@ -9,7 +9,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetwatch.operators.alerts import replay_alerts
+from fleetwatch.functions.columns import alert_id
+from fleetwatch.operators.alerts import judged_readings, replay_alerts
 from fleetwatch.session import configure
 from fleetwatch.sources.messages import encode_messages
 
@@ -230,6 +231,37 @@ class Views:
             )
         )
 
+    @cached_property
+    def timed_changes(self) -> DataFrame:
+        """A rule change three hours after every event, addressed by its user."""
+        e, u = F.col("event_id"), F.col("user_id")
+        mix = e * 7 + u * 3
+        pick = lambda words, k: F.element_at(F.array(*[F.lit(w) for w in words]), (k % len(words) + 1).cast("int"))
+        return self._given("events").select(
+            e.alias("chg_id"),
+            (F.col("ts") + F.make_dt_interval(hours=F.lit(3))).alias("chg_ts"),
+            F.when(mix % 5 == 0, "create").when(mix % 5 < 4, "update").otherwise("delete").alias("action"),
+            F.when(mix % 29 == 0, "bad id!").when(mix % 5 != 0, (u * 10 + mix % 7).cast("string")).alias("rule_id"),
+            F.when(mix % 23 != 0, u.cast("string")).otherwise("999999999").alias("device_id"),
+            F.when(mix % 31 != 0, pick(["click", "view", "purchase", "error"], mix)).alias("metric"),
+            F.when(e % 11 == 0, "eq").otherwise(pick(["gt", "lt", "gte", "lte"], e)).alias("operator"),
+            F.when(mix % 3 != 0, F.col("value")).alias("threshold"),
+            F.when(e % 17 == 0, "fatal").otherwise("critical").alias("severity"),
+            F.when(mix % 6 != 0, mix % 7 != 0).alias("enabled"),
+        )
+
+    @cached_property
+    def alert_commands(self) -> DataFrame:
+        """A command five hours after every broken reading, on the alert it opened or would have opened."""
+        x = F.col("seq") + F.col("alert_rule_id").cast("long") % 10
+        return judged_readings(self.telemetry, self.rules).where("breached").select(
+            (F.col("seq") * 10 + F.col("alert_rule_id").cast("long") % 10).alias("cmd_id"),
+            (F.col("received_at") + F.make_dt_interval(hours=F.lit(5))).alias("cmd_ts"),
+            F.when(x % 3 != 1, "resolve").otherwise("acknowledge").alias("action"),
+            F.when(x % 19 == 0, "no such id!").otherwise(alert_id(F.col("alert_rule_id"), F.col("received_at"), F.col("seq"))).alias("alert_id"),
+            F.when(x % 11 != 0, (x % 12).cast("string")).alias("user_id"),
+        )
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         return {

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -24,3 +24,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="fleetwatch-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written below the shared scratch folder and read from there: computed once, however often they are used."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

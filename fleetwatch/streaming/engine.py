@@ -1,97 +1,34 @@
-"""The continuous form: one query stores telemetry, keeps devices' last-seen times and runs alerts.
+"""The continuous form: one query stores telemetry, keeps devices' last-seen times, applies rule changes and runs alerts.
 
-Every micro-batch writes its own `batch_id` folders with overwrite, and reads only what earlier
-batches wrote, so a batch that is run again after a failure leaves the same tables. Each batch
-carries the active alerts and last-seen times forward; its work depends on them and on the batch,
-not on the length of the history.
+Messages, people's commands and rule changes enter through the same query, so the state has a single writer. Each
+micro-batch writes what it adds and what it changes, and counts from its commit on (see store.py): a batch that fails
+leaves the tables as they were, one that is run again after its commit does nothing. Its work depends on the batch and
+on the active alerts and last-seen times, not on the length of the history.
 """
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetwatch import schemas
-from fleetwatch.functions.columns import is_active
-from fleetwatch.operators.alerts import replay_alerts, replay_with_commands
+from fleetwatch.functions.columns import canonical_id, is_active
+from fleetwatch.operators.addressed import replay_addressed
+from fleetwatch.operators.alerts import judged_readings, replay_readings, replay_readings_with_commands
 from fleetwatch.operators.ingest import accepted, parse_messages, rejects
 from fleetwatch.operators.liveness import last_written
-
-LAST_SEEN = T.StructType([T.StructField("device_id", T.StringType()), T.StructField("written_at", T.TimestampType())])
-REJECTS = T.StructType([*schemas.MESSAGES.fields, T.StructField("reject_reason", T.StringType())])
-OUTCOMES = T.StructType(
-    [
-        T.StructField("cmd_id", T.LongType()),
-        T.StructField("cmd_ts", T.TimestampType()),
-        T.StructField("action", T.StringType()),
-        T.StructField("alert_rule_id", T.StringType()),
-        T.StructField("outcome", T.StringType()),
-    ]
+from fleetwatch.operators.rule_versions import RuleTimeline
+from fleetwatch.streaming.store import (
+    AlertStore,
+    BatchWriter,
+    current_alerts,
+    current_last_seen,
+    current_rules,
 )
-STORED = {
-    "telemetry": schemas.TELEMETRY,
-    "rejects": REJECTS,
-    "last_seen": LAST_SEEN,
-    "alerts": schemas.ALERTS,
-    "outcomes": OUTCOMES,
-}
-
-
-@dataclass(frozen=True)
-class AlertStore:
-    """Where the stream keeps its tables. A new checkpoint needs a new `run`, counted upwards."""
-
-    root: str
-    run: int = 0
-
-    def folder(self, table: str, batch: int) -> str:
-        return f"{self.root}/{table}/run={self.run}/batch_id={batch}"
-
-    def write(self, rows: DataFrame, table: str, batch: int) -> None:
-        fields = [F.col(f.name).cast(f.dataType) for f in STORED[table]]
-        rows.select(*fields).write.mode("overwrite").parquet(self.folder(table, batch))
-
-    def batch(self, spark: SparkSession, table: str, batch: int) -> DataFrame:
-        return spark.read.schema(STORED[table]).parquet(self.folder(table, batch))
-
-    def all(self, spark: SparkSession, table: str) -> DataFrame:
-        """What all runs and batches wrote, with `run` and `batch_id`."""
-        fields = [*STORED[table].fields, T.StructField("run", T.IntegerType()), T.StructField("batch_id", T.LongType())]
-        return spark.read.schema(T.StructType(fields)).parquet(f"{self.root}/{table}")
-
-    def before(self, spark: SparkSession, table: str, batch: int) -> DataFrame:
-        """The state the previous batch left, of this run or else of the run before."""
-        try:
-            if batch > 0:
-                return self.batch(spark, table, batch - 1)
-            return _newest(self.all(spark, table).where(F.col("run") < self.run)).drop("run", "batch_id")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND" or batch > 0:
-                raise
-            return spark.createDataFrame([], STORED[table])
-
 
-def _newest(rows: DataFrame) -> DataFrame:
-    """Rows of the last batch that wrote any; one that wrote none had nothing to carry."""
-    place = F.struct("run", "batch_id")
-    return rows.where(place == rows.agg(F.max(place)).scalar())
-
-
-def current_alerts(spark: SparkSession, store: AlertStore) -> DataFrame:
-    """All alerts as they stand: each batch's resolved ones, and those the last batch left active."""
-    rows = store.all(spark, "alerts")
-    resolved = rows.where(~is_active(F.col("status")))
-    active = _newest(rows).where(is_active(F.col("status")))
-    return resolved.unionByName(active).drop("run", "batch_id")
-
-
-def current_last_seen(spark: SparkSession, store: AlertStore) -> DataFrame:
-    return _newest(store.all(spark, "last_seen")).drop("run", "batch_id")
+__all__ = ["AlertStore", "current_alerts", "current_last_seen", "current_rules", "mark_sources", "process_batch", "run_alert_stream"]
 
 
 def run_alert_stream(
@@ -103,28 +40,34 @@ def run_alert_stream(
     commands: DataFrame | None = None,
     users: DataFrame | None = None,
     once: bool = False,
+    changes: DataFrame | None = None,
+    devices: DataFrame | None = None,
+    id_pattern: str = schemas.UUID_PATTERN,
 ) -> StreamingQuery:
-    """Starts the stream over messages and, optionally, a stream of commands.
+    """Starts the stream over messages and, optionally, streams of commands and of rule changes.
 
-    Commands come through the same query, so alerts have a single writer. `load_rules` is called
-    per batch: an edited rule counts from the next batch on.
+    Commands address an alert by alert_id, or a rule's active alert by alert_rule_id. `load_rules` is called per batch
+    and gives the base rules: one edited there counts from the next batch on. A rule that a change of the stream touched
+    goes by the stream from that change's time on; created rules need `devices`.
     """
-    inputs = mark_sources(messages, commands)
+    inputs = mark_sources(messages, commands, changes)
 
     def batch(rows: DataFrame, number: int) -> None:
-        process_batch(rows, number, store, topic_root, load_rules(), users)
+        process_batch(rows, number, store, topic_root, load_rules(), users, devices, id_pattern)
 
     writer = inputs.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def mark_sources(messages: DataFrame, commands: DataFrame | None = None) -> DataFrame:
-    """Messages and commands in one table; `source` tells them apart whatever else is null."""
+def mark_sources(messages: DataFrame, commands: DataFrame | None = None, changes: DataFrame | None = None) -> DataFrame:
+    """All inputs in one table; `source` tells them apart whatever else is null."""
     rows = messages.select(*schemas.MESSAGES.names, F.lit("message").alias("source"))
-    if commands is None:
-        return rows
-    named = commands.select(*schemas.RULE_COMMANDS.names, F.lit("command").alias("source"))
-    return rows.unionByName(named, allowMissingColumns=True)
+    if commands is not None:
+        names = (schemas.ALERT_COMMANDS if "alert_id" in commands.columns else schemas.RULE_COMMANDS).names
+        rows = rows.unionByName(commands.select(*names, F.lit("command").alias("source")), allowMissingColumns=True)
+    if changes is not None:
+        rows = rows.unionByName(changes.select(*schemas.RULE_CHANGES.names, F.lit("change").alias("source")), allowMissingColumns=True)
+    return rows
 
 
 def process_batch(
@@ -134,31 +77,87 @@ def process_batch(
     topic_root: str,
     rules: DataFrame,
     users: DataFrame | None = None,
+    devices: DataFrame | None = None,
+    id_pattern: str = schemas.UUID_PATTERN,
+    before_commit: Callable[[], None] | None = None,
 ) -> None:
-    """Telemetry first, then last-seen times, then alerts: the order in which failures may strike.
+    """Telemetry first, then last-seen times, then rules and alerts: the order in which failures may strike.
 
-    `rows` come from mark_sources; rows without a `source` column are messages, all of them.
+    `rows` come from mark_sources; rows without a `source` column are messages, all of them. `before_commit` is called
+    when all is written and nothing of it is visible yet; if it fails, so does the batch.
     """
     spark = rows.sparkSession
+    writer = BatchWriter(spark, store, number)
+    if writer.done_before:
+        return
+    state = lambda table: store.state(spark, table, writer.before)
     marked = "source" in rows.columns
     messages = rows.where(F.col("source") == "message") if marked else rows
     parsed = parse_messages(messages.select(*schemas.MESSAGES.names), topic_root).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        store.write(accepted(parsed), "telemetry", number)
-        store.write(rejects(parsed), "rejects", number)
+        telemetry = writer.add("telemetry", accepted(parsed))
+        writer.add("rejects", rejects(parsed))
     finally:
         parsed.unpersist()
-    telemetry = store.batch(spark, "telemetry", number)
 
-    seen = store.before(spark, "last_seen", number)
-    newest = seen.unionByName(last_written(telemetry, seen)).groupBy("device_id")
-    store.write(newest.agg(F.max("written_at").alias("written_at")), "last_seen", number)
-
-    active = store.before(spark, "alerts", number).where(is_active(F.col("status")))
-    if not marked or "cmd_id" not in rows.columns:
-        store.write(replay_alerts(telemetry, rules, active), "alerts", number)
-        return
-    commands = rows.where(F.col("source") == "command").select(*schemas.RULE_COMMANDS.names)
-    alerts, outcomes = replay_with_commands(telemetry, rules, commands, active, users)
-    store.write(alerts, "alerts", number)
-    store.write(outcomes, "outcomes", number)
+    # Only devices with a write in this batch; the state takes the newest time of each.
+    writer.change("last_seen", last_written(telemetry, state("last_seen")))
+    writer.merge("last_seen")
+
+    rules = current_rules(spark, store, rules, writer.before)
+    readings = judged_readings(telemetry, rules)
+    if marked and "chg_id" in rows.columns:
+        changes = rows.where(F.col("source") == "change").select(*schemas.RULE_CHANGES.names)
+        if not changes.isEmpty():
+            known = spark.createDataFrame([], schemas.DEVICES) if devices is None else devices
+            timeline = RuleTimeline(telemetry, rules, known, changes, used=state("used_rules"), id_pattern=id_pattern)
+            writer.change("rules", _changed_rules(timeline))
+            writer.merge("rules")
+            writer.add("rule_outcomes", timeline.outcomes)
+            readings = timeline.readings
+
+    active = state("alerts").where(is_active(F.col("status")))
+    readings = readings.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        alerts, outcomes = _alerts(rows, readings, active, writer, users, id_pattern)
+        # Written before it is read twice more; rows that a batch leaves as they were are not written.
+        changed = writer.change("alerts", _different(alerts, active))
+        opened = changed.join(active.select("id"), "id", "left_anti").select(canonical_id(F.col("alert_rule_id")).alias("alert_rule_id"))
+        writer.change("used_rules", opened.distinct())
+        writer.merge("used_rules")
+        if outcomes is not None:
+            writer.add("outcomes", outcomes)
+    finally:
+        readings.unpersist()
+    writer.snapshot_alerts()
+    if before_commit is not None:
+        before_commit()
+    writer.commit()
+
+
+def _alerts(rows, readings, active, writer: BatchWriter, users, id_pattern) -> tuple[DataFrame, DataFrame | None]:
+    """The alerts after the batch, and outcomes of its commands if it has any."""
+    if "cmd_id" not in rows.columns:
+        return replay_readings(readings, active), None
+    names = (schemas.ALERT_COMMANDS if "alert_id" in rows.columns else schemas.RULE_COMMANDS).names
+    commands = rows.where(F.col("source") == "command").select(*names)
+    if commands.isEmpty():
+        return replay_readings(readings, active), None
+    if "alert_id" not in names:
+        return replay_readings_with_commands(readings, commands, active, users)
+    spark, store = writer.spark, writer.store
+    closed = store.all(spark, "closed_alerts").select("id")
+    resolved = store.state(spark, "alerts", writer.before).where(~is_active(F.col("status"))).select("id")
+    return replay_addressed(readings, commands, active, users, closed.unionByName(resolved), id_pattern=id_pattern)
+
+
+def _different(after: DataFrame, before: DataFrame) -> DataFrame:
+    """Alerts that are new or have another status."""
+    known = before.select("id", F.col("status").alias("_was"))
+    return after.join(known, "id", "left").where(F.col("_was").isNull() | (F.col("_was") != F.col("status"))).drop("_was")
+
+
+def _changed_rules(timeline: RuleTimeline) -> DataFrame:
+    """Images of the rules that changes touched; one that is gone is marked deleted."""
+    touched = timeline.touched.join(timeline.rules_after.withColumn("deleted", F.lit(False)), "id", "left")
+    return touched.withColumn("deleted", F.coalesce("deleted", F.lit(True)))
