@@ -90,6 +90,10 @@ def _decode(messages: DataFrame) -> DataFrame:
     )
 
 
+#: Why a message is rejected, in the order of the checks.
+REJECT_REASONS = ["bad_topic", "invalid_json", "missing_field", "empty_readings", "id_mismatch"]
+
+
 def parse_messages(messages: DataFrame, topic_root: str) -> DataFrame:
     """Adds the decoded fields and `reject_reason`, null for accepted messages.
 

@@ -63,10 +63,10 @@ _VIEWS = {
            TIMESTAMP '2024-01-01' AS created_at
     FROM supplier""",
     "v_telemetry": """
-    SELECT CAST(user_id AS VARCHAR) AS device_id, CAST(c_nationkey AS VARCHAR) AS site_id,
-           c_mktsegment AS device_type, event_type AS metric, value, ts,
+    SELECT CAST(user_id AS VARCHAR) AS device_id, coalesce(CAST(c_nationkey AS VARCHAR), 'nowhere') AS site_id,
+           coalesce(c_mktsegment, 'unknown') AS device_type, event_type AS metric, value, ts,
            ts + to_seconds(event_id % 5) AS received_at, event_id AS seq
-    FROM events JOIN customer ON user_id = c_custkey""",
+    FROM events LEFT JOIN customer ON user_id = c_custkey""",
     "v_matches": f"""
     SELECT r.id AS alert_rule_id, t.device_id, r.severity, r.operator, r.threshold, t.metric, t.value,
            t.received_at, t.seq, r.enabled, {_BREACHED} AS breached
@@ -333,6 +333,40 @@ def _addressed(live: str) -> str:
     )"""
 
 
+_DELETES = """
+    x_asked AS (
+        SELECT o_orderkey * 3 + n AS del_id, o_orderdate AS del_ts,
+               CASE WHEN n = 0 THEN 'alert_rules' WHEN n = 1 THEN 'devices' WHEN o_orderkey % 3 = 0 THEN 'sites' WHEN o_orderkey % 3 = 1 THEN 'users' ELSE 'alerts' END AS table_name,
+               CAST(CASE WHEN n = 0 THEN o_custkey * 10 + o_orderkey % 7 WHEN n = 1 THEN o_custkey WHEN o_orderkey % 3 = 0 THEN o_custkey % 30 ELSE o_custkey % 120 END AS VARCHAR) AS row_id
+        FROM orders, (VALUES (0), (1), (2)) AS k(n)
+    ),
+    x_rules AS (
+        SELECT row_id AS id, min((del_ts, del_id)) AS gone FROM x_asked WHERE table_name = 'alert_rules' AND row_id IN (SELECT id FROM v_rules)
+        AND row_id NOT IN (SELECT alert_rule_id FROM v_alerts) GROUP BY row_id
+    ),
+    x_ready_devices AS (
+        SELECT d.id, max(x.gone) AS last FROM v_devices d LEFT JOIN v_rules r ON r.device_id = d.id LEFT JOIN x_rules x ON x.id = r.id
+        WHERE d.id NOT IN (SELECT device_id FROM v_alerts) GROUP BY d.id HAVING count(r.id) = count(x.id)
+    ),
+    x_devices AS (
+        SELECT id, min((del_ts, del_id)) AS gone FROM x_asked JOIN x_ready_devices ON id = row_id
+        WHERE table_name = 'devices' AND (last IS NULL OR (del_ts, del_id) > last) GROUP BY id
+    ),
+    x_ready_sites AS (
+        SELECT s.id, max(x.gone) AS last FROM v_sites s LEFT JOIN v_devices d ON d.site_id = s.id LEFT JOIN x_devices x ON x.id = d.id
+        GROUP BY s.id HAVING count(d.id) = count(x.id)
+    ),
+    x_gone AS (
+        SELECT 'alert_rules' AS table_name, * FROM x_rules UNION ALL SELECT 'devices', * FROM x_devices
+        UNION ALL SELECT 'sites', id, min((del_ts, del_id)) FROM x_asked JOIN x_ready_sites ON id = row_id
+            WHERE table_name = 'sites' AND (last IS NULL OR (del_ts, del_id) > last) GROUP BY id
+        UNION ALL SELECT 'users', row_id, min((del_ts, del_id)) FROM x_asked WHERE table_name = 'users' AND row_id IN (SELECT id FROM v_users) GROUP BY row_id
+    ),
+    x_there AS (
+        SELECT 'alert_rules' AS table_name, id FROM v_rules UNION ALL SELECT 'devices', id FROM v_devices
+        UNION ALL SELECT 'sites', id FROM v_sites UNION ALL SELECT 'users', id FROM v_users
+    )"""
+
 _STREAMED = f"""v_stored AS (SELECT m.* REPLACE (p.value AS value) FROM v_live m JOIN v_parsed p ON p.seq = m.seq WHERE p.reject_reason IS NULL),
     v_judged AS (SELECT * EXCLUDE (breached), {_BREACHED} AS breached FROM v_stored)"""
 _START, _END = parse_rfc3339(q.FROM), parse_rfc3339(q.TO)
@@ -423,6 +457,8 @@ _BODIES = {
         FROM v_topics WHERE reject_reason IS NOT NULL OR seq % 70 = 7""",
     "reject_counts": """SELECT reject_reason, count(*) AS messages FROM v_parsed WHERE reject_reason IS NOT NULL
         GROUP BY reject_reason""",
+    "stream_reject_counts": """SELECT reject_reason, count(*) AS messages FROM v_parsed WHERE reject_reason IS NOT NULL
+        GROUP BY reject_reason""",
     "enabled_rules": "SELECT * EXCLUDE (created_at) FROM v_rules WHERE enabled",
     "active_rules": "SELECT DISTINCT device_id, alert_rule_id FROM v_alerts WHERE status = 'open'",
     "rule_matches": "SELECT * EXCLUDE (enabled, breached) FROM v_live",
@@ -566,6 +602,15 @@ _BODIES = {
             _blocked("alerts", "v_alerts", "device_id", "devices", "v_devices"),
         ]
     ),
+    "parent_delete_outcomes": (
+        _DELETES,
+        """SELECT del_id, del_ts, a.table_name, row_id, CASE WHEN a.table_name = 'alerts' THEN 'bad_request'
+        WHEN t.id IS NULL OR (g.gone IS NOT NULL AND g.gone < (del_ts, del_id)) THEN 'not_found'
+        WHEN g.gone = (del_ts, del_id) THEN 'ok' ELSE 'conflict' END AS outcome
+        FROM x_asked a LEFT JOIN x_there t ON t.table_name = a.table_name AND t.id = row_id
+        LEFT JOIN x_gone g ON g.table_name = a.table_name AND g.id = row_id""",
+    ),
+    "devices_after_deletes": (_DELETES, "SELECT id, site_id, name FROM v_devices WHERE id NOT IN (SELECT id FROM x_devices)"),
     "user_removal": (
         f"v_outcomes AS ({_commands()}), d_alerts AS ({_alerts_after('v_outcomes')})",
         """SELECT a.id, a.status, CASE WHEN k.role <> 'guest' THEN a.acknowledged_by END AS acknowledged_by,

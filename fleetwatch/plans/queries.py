@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetwatch.operators import addressed as D
 from fleetwatch.operators import alerts as A
 from fleetwatch.operators import commands as M
+from fleetwatch.operators import deletes as X
 from fleetwatch.operators import ingest as I
 from fleetwatch.operators import liveness as L
 from fleetwatch.operators import quality as C
@@ -202,6 +203,16 @@ def _addressed(v: Views) -> tuple[DataFrame, DataFrame]:
     return D.replay_addressed(A.judged_readings(v.telemetry, v.rules), v.alert_commands, users=v.users, id_pattern=ID_PATTERN)
 
 
+def _stream_reject_counts(v: Views) -> DataFrame:
+    """Rejects by reason as each batch counted them while it wrote its rows."""
+    store = E.AlertStore(scratch_path(v.spark, "alerts"))
+    for number, part in enumerate(_cut(v.messages, "received_at")[:2]):
+        E.process_batch(part, number, store, TOPIC_ROOT, v.rules)
+    rest = E.AlertStore(store.root, run=1)
+    E.process_batch(_cut(v.messages, "received_at")[2], 0, rest, TOPIC_ROOT, v.rules)
+    return rest.all(v.spark, "reject_counts").groupBy("reject_reason").agg(F.sum("messages").alias("messages"))
+
+
 def _rule_decisions(v: Views) -> DataFrame:
     return U.decide(
         U.match_rules(v.newest_messages, U.enabled_rules(v.rules)), U.active_rules(v.earlier_alerts)
@@ -300,6 +311,7 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "alert_lifecycle_outcomes": lambda v: A.replay_with_commands(v.telemetry, v.rules, v.rule_commands)[1],
     "alert_stream": _alert_stream,
     "alert_stream_rejects": _alert_stream_rejects,
+    "stream_reject_counts": _stream_reject_counts,
     "alert_stream_commits": _alert_stream_commits,
     "alert_stream_rules": _alert_stream_rules,
     "alert_stream_commands": _alert_stream_commands,
@@ -334,6 +346,8 @@ _QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "check_domains": lambda v: C.check_domains(v.tables),
     "check_foreign_keys": lambda v: C.check_foreign_keys(_damaged(v)),
     "blocked_deletes": lambda v: C.blocked_deletes(v.tables),
+    "parent_delete_outcomes": lambda v: X.apply_deletes(v.tables, v.deletes)[1],
+    "devices_after_deletes": lambda v: X.apply_deletes(v.tables, v.deletes)[0]["devices"].select("id", "site_id", "name"),
     "user_removal": _user_removal,
     "check_unique": lambda v: C.check_unique(_damaged(v)),
     "check_not_null": lambda v: C.check_not_null(_damaged(v)),

@@ -117,11 +117,12 @@ class Views:
         delay = F.make_dt_interval(secs=F.col("event_id") % 5)
         return (
             self._given("events")
-            .join(self._given("customer"), F.col("user_id") == F.col("c_custkey"))
+            # Devices that no table knows send messages too, and they are accepted.
+            .join(self._given("customer"), F.col("user_id") == F.col("c_custkey"), "left")
             .select(
                 _text("user_id").alias("device_id"),
-                _text("c_nationkey").alias("site_id"),
-                F.col("c_mktsegment").alias("device_type"),
+                F.coalesce(_text("c_nationkey"), F.lit("nowhere")).alias("site_id"),
+                F.coalesce("c_mktsegment", F.lit("unknown")).alias("device_type"),
                 F.create_map("event_type", "value").alias("readings"),
                 "ts",
                 (F.col("ts") + delay).alias("received_at"),
@@ -262,6 +263,18 @@ class Views:
             F.when(x % 11 != 0, (x % 12).cast("string")).alias("user_id"),
         )
 
+    @cached_property
+    def deletes(self) -> DataFrame:
+        """Three deletes per order: a rule of its customer, its customer's device, and a site or a user."""
+        o, c, n = F.col("o_orderkey"), F.col("o_custkey"), F.col("n")
+        table = F.when(n == 0, "alert_rules").when(n == 1, "devices").when(o % 3 == 0, "sites").when(o % 3 == 1, "users").otherwise("alerts")
+        row = F.when(n == 0, c * 10 + o % 7).when(n == 1, c).when(o % 3 == 0, c % 30).otherwise(c % 120)
+        return (
+            self._given("orders")
+            .withColumn("n", F.explode(F.array(*[F.lit(i) for i in range(3)])))
+            .select((o * 3 + n).alias("del_id"), F.col("o_orderdate").cast("timestamp_ntz").alias("del_ts"), table.alias("table_name"), row.cast("string").alias("row_id"))
+        )
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         return {

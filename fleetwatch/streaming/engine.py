@@ -9,7 +9,7 @@ on the active alerts and last-seen times, not on the length of the history.
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,10 +17,11 @@ from fleetwatch import schemas
 from fleetwatch.functions.columns import canonical_id, is_active
 from fleetwatch.operators.addressed import replay_addressed
 from fleetwatch.operators.alerts import judged_readings, replay_readings, replay_readings_with_commands
-from fleetwatch.operators.ingest import accepted, parse_messages, rejects
+from fleetwatch.operators.ingest import REJECT_REASONS, accepted, parse_messages, rejects
 from fleetwatch.operators.liveness import last_written
 from fleetwatch.operators.rule_versions import RuleTimeline
 from fleetwatch.streaming.store import (
+    REJECT_COUNTS,
     AlertStore,
     BatchWriter,
     current_alerts,
@@ -94,11 +95,16 @@ def process_batch(
     marked = "source" in rows.columns
     messages = rows.where(F.col("source") == "message") if marked else rows
     parsed = parse_messages(messages.select(*schemas.MESSAGES.names), topic_root).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = Observation()
+    # Counted while the rows are written, so that the counts cost no further pass.
+    counted = parsed.observe(counts, *[F.count_if(F.col("reject_reason") == reason).alias(reason) for reason in REJECT_REASONS])
     try:
-        telemetry = writer.add("telemetry", accepted(parsed))
+        telemetry = writer.add("telemetry", accepted(counted))
         writer.add("rejects", rejects(parsed))
     finally:
         parsed.unpersist()
+    found = [(reason, n) for reason, n in counts.get.items() if n]
+    writer.add("reject_counts", spark.createDataFrame(found, REJECT_COUNTS))
 
     # Only devices with a write in this batch; the state takes the newest time of each.
     writer.change("last_seen", last_written(telemetry, state("last_seen")))

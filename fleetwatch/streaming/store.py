@@ -4,7 +4,7 @@ Every attempt at a batch writes folders of its own. The commit of a batch is one
 renames into place, so it is there whole or not at all; it names the attempt, and the segments that make up the state.
 Readers go by commits alone: whatever an unfinished or failed attempt left behind is never read.
 
-Tables that only grow (telemetry, rejects, outcomes, closed alerts) keep one folder per batch. State is kept as changes:
+Tables that only grow (telemetry, rejects and their counts, outcomes, closed alerts) keep one folder per batch. State is kept as changes:
 a batch adds a segment with the rows it changed, and a fold by key takes the newest. Segments of last-seen times, rules
 and used rules are merged by levels, as many of one level into one of the next, so a row is rewritten a number of times
 that grows with the logarithm of the batches. Alerts are compacted every few batches: active ones into one snapshot,
@@ -33,12 +33,14 @@ LAST_SEEN = T.StructType([T.StructField("device_id", _S), T.StructField("written
 REJECTS = _with(schemas.MESSAGES, ("reject_reason", _S))
 OUTCOMES = _with(T.StructType(), ("cmd_id", _L), ("cmd_ts", T.TimestampType()), ("action", _S), ("alert_rule_id", _S), ("alert_id", _S), ("user_id", _S), ("outcome", _S))
 RULE_OUTCOMES = _with(T.StructType(), ("chg_id", _L), ("chg_ts", T.TimestampType()), ("action", _S), ("rule_id", _S), ("outcome", _S))
+REJECT_COUNTS = _with(T.StructType(), ("reject_reason", _S), ("messages", _L))
 _VERSION = ("version", _L)
 
 #: Tables that grow by what a batch adds.
 GROWING = {
     "telemetry": schemas.TELEMETRY,
     "rejects": REJECTS,
+    "reject_counts": REJECT_COUNTS,
     "outcomes": OUTCOMES,
     "rule_outcomes": RULE_OUTCOMES,
     "closed_alerts": schemas.ALERTS,
