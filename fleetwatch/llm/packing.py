@@ -72,24 +72,43 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
     return [(filling, times) for group in room.values() for filling, times in group.items() if times]
 
 
-def completions(count: np.ndarray, room: int, steps: list[int]) -> Iterator[tuple[Filling, int]]:
+class Sums:
+    """Sums that the shortest lengths can reach, as bits, kept from one use to the next as far as counts stay the same."""
+
+    def __init__(self, capacity: int):
+        self.capacity, self.whole = capacity, (1 << (capacity + 1)) - 1
+        self.have, self.usable = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.reach = [1]  # reach[i]: sums of the i shortest lengths
+
+    def of(self, count: np.ndarray, room: int) -> tuple[np.ndarray, list[int]]:
+        """The lengths up to room, and what they reach."""
+        have = np.flatnonzero(count[: room + 1])
+        usable = np.minimum(count[have], self.capacity // np.maximum(have, 1))
+        n = min(len(have), len(self.have))
+        other = np.flatnonzero((have[:n] != self.have[:n]) | (usable[:n] != self.usable[:n]))
+        same = int(other[0]) if len(other) else n
+        if same < len(have):
+            self.have, self.usable, self.reach = have, usable, self.reach[: same + 1]
+            for length, many in zip(have[same:].tolist(), usable[same:].tolist(), strict=True):
+                sums, k = self.reach[-1], 1
+                while many:
+                    k = min(k, many)
+                    sums |= sums << length * k & self.whole
+                    many, k = many - k, 2 * k
+                self.reach.append(sums)
+        return have, self.reach
+
+
+def completions(count: np.ndarray, room: int, steps: list[int], sums: Sums | None = None) -> Iterator[tuple[Filling, int]]:
     """(filling, waste) of `room`, of any number of lengths: least waste first, then longest first, made as they are asked for.
 
     Sums that the shorter lengths can reach guide the recursion, so it meets no dead end for want of a fitting rest. Left
     out is what a swap dominates: a free length that takes the place of one or two members, or of none, within the waste.
     The number of recursion steps is taken off steps[0]; at 0 no more are made.
     """
-    have = [int(n) for n in np.flatnonzero(count[: room + 1])]
-    copies = {n: int(count[n]) for n in have}
-    whole = (1 << (room + 1)) - 1
-    reach = [1]  # reach[i]: sums of the i shortest lengths, as bits
-    for n in have:
-        sums, k, many = reach[-1], 1, min(copies[n], room // n)
-        while many:
-            k = min(k, many)
-            sums |= sums << n * k & whole
-            many, k = many - k, 2 * k
-        reach.append(sums)
+    lengths, reach = (sums or Sums(room)).of(count, room)
+    have = lengths.tolist()
+    copies = dict(zip(have, count[lengths].tolist(), strict=True))
 
     def fill(i: int, target: int, waste: int, chosen: Filling, free: int) -> Iterator[Filling]:
         if not target:
@@ -114,18 +133,18 @@ def completions(count: np.ndarray, room: int, steps: list[int]) -> Iterator[tupl
 
     free = sum(1 << n for n in have)
     for waste in range(room + 1):
-        if reach[-1] >> room - waste & 1:
+        if reach[len(have)] >> room - waste & 1:
             for filling in fill(len(have), room - waste, waste, (), free):
                 yield filling, waste
 
 
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000, steps: int = 300_000) -> list[tuple[Filling, int]]:
+def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000, steps: int = 300_000, depth: int = 64) -> list[tuple[Filling, int]]:
     """Branch and bound over completions of the longest remaining document; the best-fit plan is the first incumbent.
 
     A node applies one completion as often as the counts allow, then also half, a quarter, ... as often, down to once. A
     branch ends when its sequences so far and the total of what is left reach the incumbent, that is, when its waste is
-    no longer affordable. The search ends at the lower bound, after `nodes` nodes or after `steps` steps of completions;
-    these bound the time, not the rows.
+    no longer affordable. The search ends at the lower bound, after `nodes` nodes or after `steps` steps of completions,
+    and turns back over the last `depth` open nodes at most; these bound time and memory, not the rows.
     """
     best = best_fit(counts, capacity)
     best_n, bound = sum(t for _, t in best), lower_bound(counts, capacity)
@@ -136,7 +155,7 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000, ste
     path: list[tuple[Filling, int]] = []
     choices: list[Iterator] = []
     used = spent = 0
-    budget = [steps]
+    budget, sums = [steps], Sums(capacity)
 
     def branch():
         longest = int(np.flatnonzero(count)[-1])
@@ -144,7 +163,7 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000, ste
         rest = count.copy()
         count[longest] += 1
         again: list[tuple[Counter, int]] = []
-        for filling, waste in completions(rest, capacity - longest, budget):
+        for filling, waste in completions(rest, capacity - longest, budget, sums):
             if used + 1 + -(-(left - capacity + waste) // capacity) >= best_n:
                 break  # nor is any greater waste affordable
             members = Counter(dict(filling))
@@ -178,6 +197,8 @@ def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 6000, ste
         path.append((tuple(sorted(filling.items(), reverse=True)), times))
         if left:
             choices.append(branch())
+            if len(choices) > depth:  # what an open node holds is given up; the nodes below it stay as they are
+                choices[-depth - 1] = iter(())
         else:
             best, best_n = list(path), used
             choices.append(iter(()))
