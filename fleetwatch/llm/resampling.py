@@ -220,7 +220,9 @@ def resample(
     count and each give a row. Empty docs give an empty table; an empty target weighs by the source alone. Two scans of
     docs: one for the counts of all buckets, one for the weights. The driver sees the gain of each bucket and two totals.
     """
-    gains = bucket_gains(count_buckets(docs, text, orders, buckets), count_buckets(target, target_text, orders, buckets), buckets)
+    # Stored, as the gains read them for the sums and again for each bucket.
+    counts = [stored(count_buckets(rows, column, orders, buckets), "counts") for rows, column in ((docs, text), (target, target_text))]
+    gains = bucket_gains(*counts, buckets)
     by_bucket = np.zeros(buckets, np.int64)
     for row in gains.collect():
         by_bucket[row["bucket"]] = row["gain"]
