@@ -130,7 +130,7 @@ def find_occurrences(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
     Every row of docs gives one row, repeated keys too. A null or empty text has no words; null or wordless items match
     nothing; an item id that repeats counts once; a null item id is the empty id. An empty benchmark hits nothing. The
     benchmark is broadcast in blocks of bounded size; with more than one block each row is searched once per block,
-    in the same pass over the documents, and tables of one block are in a worker's memory at a time.
+    in the same pass over the documents, and a worker keeps the tables of at most four blocks.
     """
     blocks = item_blocks(benchmark, item, item_text, block_bytes)
 
