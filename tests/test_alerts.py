@@ -196,3 +196,16 @@ def test_replay_without_broadcast(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_the_replay_shuffles_five_columns_and_the_stretch(spark):
+    """No state, facts or copies of the time cross the network with the readings."""
+    plan = replay_alerts(telemetry(spark, [(A[1], {"power_kw": 60.0}, 0)]), seed_tables(spark)["alert_rules"])
+    lines = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = [lines[n + 1] for n, line in enumerate(lines) if "RepartitionByExpression" in line]
+    assert below
+    for line in below:
+        for column in ("alert_rule_id", "received_at", "seq", "value", "breached", "_stretch"):
+            assert column in line
+        for column in ("device_id", "severity", "_in_", "struct("):
+            assert f"{column}#" not in line and f"AS {column}" not in line
