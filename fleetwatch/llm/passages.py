@@ -324,62 +324,87 @@ def _cut_passages(routes):
 
 
 class PhraseAutomaton:
-    """Aho-Corasick automaton over the words of a shard's phrases, with the places of each phrase in passages."""
+    """Aho-Corasick automaton over the words of a shard's phrases, and the owned windows around those phrases by hash."""
 
     def __init__(self, routes: Routes, shard: int):
         self.routes, self.mark = routes, shard + 1
         self.words: dict[bytes, int] = {}
-        self.places: dict[tuple, dict] = {}
+        self.phrases: set[tuple] = set()
+        self.windows: dict[int, tuple[int, list[bytes], int]] = {}  # smallest owner, a passage and the window's place
         self.automaton = None
 
     def add(self, owner: int, passage: bytes) -> None:
         words = passage.split()
-        phrases, at, _ = singled_out(word_hashes(words))
-        number = self.words
+        each = word_hashes(words)
+        phrases, at, _ = singled_out(each)
+        hashes, number, windows = stretch_hashes(each, WINDOW).tolist(), self.words, self.windows
+        fresh = 0
         for p in at[self.routes.find(phrases[at]) == self.mark].tolist():
-            phrase = tuple(number.setdefault(w, len(number) + 1) for w in words[p : p + PHRASE])
-            before, after = words[max(0, p - _SPAN + 1) : p], words[p + PHRASE : p + WINDOW]
-            around = (b" ".join(before), b" ".join(after))  # equal surroundings count once, for the smallest owner
-            held = self.places.setdefault(phrase, {})
-            if around not in held or owner < held[around][0]:
-                held[around] = (owner, before[::-1], after)
+            self.phrases.add(tuple(number.setdefault(w, len(number) + 1) for w in words[p : p + PHRASE]))
+            for start in range(max(fresh, p - _SPAN + 1), min(p, len(words) - WINDOW) + 1):
+                held = windows.get(hashes[start])
+                if held is None or owner < held[0]:
+                    windows[hashes[start]] = (owner, words, start)
+                fresh = start + 1
 
     def compile(self) -> None:
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for phrase, held in self.places.items():
-            self.automaton.add_word(phrase, list(held.values()))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for phrase in self.phrases:
+            self.automaton.add_word(phrase, 1)
         self.automaton.make_automaton()
+        # The windows as arrays in order of their hash; the words of a passage are one list, however many windows it has.
+        self.hashes = np.fromiter(self.windows, np.uint64, len(self.windows))
+        order = np.argsort(self.hashes)
+        self.hashes, held = self.hashes[order], list(self.windows.values())
+        self.passages = list({id(words): words for _, words, _ in held}.values())
+        number = {id(words): n for n, words in enumerate(self.passages)}
+        found = np.array([(owner, number[id(words)], start) for owner, words, start in held], np.int64).reshape(-1, 3)[order]
+        self.owners, self.passage, self.place = found.T
+        self.windows = {}
 
     def covered(self, key: int, words: list[bytes]) -> list[int]:
-        """Merged stretches of words in windows equal to a window of an owner smaller than key: begin, end, ..."""
-        if not self.places or len(words) < WINDOW:
+        """Merged stretches of words in windows equal to a window of an owner smaller than key: begin, end, ...
+
+        Each window around an occurrence is looked up once, and a run of windows that follow one another in a passage is
+        compared with it at once, so the work is linear in the words, however many surroundings a phrase has.
+        """
+        if not self.phrases or len(words) < WINDOW:
+            return []
+        ends = [last for last, _ in self.automaton.iter(tuple(map(self.words.get, words, repeat(0))))]
+        if not ends:
             return []
+        hashes = stretch_hashes(word_hashes(words), WINDOW)
+        at = np.array(ends, np.int64) - PHRASE + 1
+        step = np.zeros(len(words) + 1, np.int64)
+        np.add.at(step, np.maximum(at - _SPAN + 1, 0), 1)
+        np.add.at(step, at + 1, -1)
+        starts = np.flatnonzero(np.cumsum(step[: len(hashes)]) > 0)
+        row = np.minimum(np.searchsorted(self.hashes, hashes[starts]), len(self.hashes) - 1)
+        owned = (self.hashes[row] == hashes[starts]) & (self.owners[row] < key)
+        starts, row = starts[owned], row[owned]
+        passage, place = self.passage[row], self.place[row]
+        new = (np.diff(starts) != 1) | (np.diff(passage) != 0) | (np.diff(place) != 1)
+        cuts = np.flatnonzero(np.r_[True, new, True]) if len(starts) else []
         spans: list[list[int]] = []
-        n = len(words)
-        for last, places in self.automaton.iter(tuple(map(self.words.get, words, repeat(0)))):
-            at = last - PHRASE + 1
-            low, high = max(0, at - _SPAN + 1), min(n, at + WINDOW)
-            if spans and spans[-1][0] <= low and high <= spans[-1][1]:
-                continue
-            for owner, before, after in places:
-                if owner >= key:
-                    continue
-                left = right = 0
-                most = min(len(before), at - low)
-                while left < most and before[left] == words[at - 1 - left]:
-                    left += 1
-                most = min(len(after), high - last - 1)
-                while right < most and after[right] == words[last + 1 + right]:
-                    right += 1
-                if left + PHRASE + right >= WINDOW:
-                    begin, end = at - left, last + 1 + right
-                    while spans and begin <= spans[-1][1]:
-                        begin, end = min(begin, spans[-1][0]), max(end, spans[-1][1])
-                        spans.pop()
-                    spans.append([begin, end])
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            begin, other, text = int(starts[a]), int(place[a]), self.passages[passage[a]]
+            size = int(b - a) + WINDOW - 1
+            whole = text[other : other + size] == words[begin : begin + size]
+            for first, last in [(begin, begin + size)] if whole else _equal_windows(text, other, words, begin, int(b - a)):
+                if spans and first <= spans[-1][1]:
+                    spans[-1][1] = max(spans[-1][1], last)
+                else:
+                    spans.append([first, last])
         return [x for span in spans for x in span]
 
 
+def _equal_windows(text: list[bytes], other: int, words: list[bytes], begin: int, n: int) -> Iterator[tuple[int, int]]:
+    """Those of n windows whose words are equal, where some only have equal hashes."""
+    for k in range(n):
+        if text[other + k : other + k + WINDOW] == words[begin + k : begin + k + WINDOW]:
+            yield begin + k, begin + k + WINDOW
+
+
 def _stream(routes):
     """Rows sorted by shard, part and kind: the passages of a part are compiled, then its documents go through."""
 
