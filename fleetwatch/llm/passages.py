@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import groupby, repeat
 
 import ahocorasick
 import numpy as np
@@ -363,39 +363,53 @@ class PhraseAutomaton:
         self.windows = {}
 
     def covered(self, key: int, words: list[bytes]) -> list[int]:
-        """Merged stretches of words in windows equal to a window of an owner smaller than key: begin, end, ...
+        """Merged stretches of words in windows equal to a window of an owner smaller than key: begin, end, ..."""
+        return self.covered_all([key], [words])[0]
 
-        Each window around an occurrence is looked up once, and a run of windows that follow one another in a passage is
-        compared with it at once, so the work is linear in the words, however many surroundings a phrase has.
+    def covered_all(self, keys: list[int], texts: list[list[bytes]]) -> list[list[int]]:
+        """covered() of many stretches at once.
+
+        They go through the automaton as one sequence with a word between them that no phrase has. Each window around an
+        occurrence is looked up once, and a run of windows that follow one another in a passage is compared with it at
+        once, so the work is linear in the words, however many surroundings a phrase has.
         """
-        if not self.phrases or len(words) < WINDOW:
-            return []
-        ends = [last for last, _ in self.automaton.iter(tuple(map(self.words.get, words, repeat(0))))]
+        found: list[list[int]] = [[] for _ in texts]
+        words = [w for text in texts for w in (*text, b"")]
+        ends = [last for last, _ in self.automaton.iter(tuple(map(self.words.get, words, repeat(0))))] if self.phrases else []
         if not ends:
-            return []
-        hashes = stretch_hashes(word_hashes(words), WINDOW)
+            return found
+        size = np.array([len(text) + 1 for text in texts], np.int64)
+        after = np.cumsum(size)  # behind each stretch's separator
         at = np.array(ends, np.int64) - PHRASE + 1
+        text_of = np.searchsorted(after, at, "right")
+        first, last = np.maximum(at - _SPAN + 1, (after - size)[text_of]), np.minimum(at, after[text_of] - 1 - WINDOW)
+        fits = first <= last
         step = np.zeros(len(words) + 1, np.int64)
-        np.add.at(step, np.maximum(at - _SPAN + 1, 0), 1)
-        np.add.at(step, at + 1, -1)
-        starts = np.flatnonzero(np.cumsum(step[: len(hashes)]) > 0)
-        row = np.minimum(np.searchsorted(self.hashes, hashes[starts]), len(self.hashes) - 1)
-        owned = (self.hashes[row] == hashes[starts]) & (self.owners[row] < key)
-        starts, row = starts[owned], row[owned]
+        np.add.at(step, first[fits], 1)
+        np.add.at(step, last[fits] + 1, -1)
+        starts = np.flatnonzero(np.cumsum(step) > 0)
+        if not len(starts):
+            return found
+        hashes = stretch_hashes(word_hashes(words), WINDOW)[starts]
+        text_of = np.searchsorted(after, starts, "right")
+        row = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        owned = (self.hashes[row] == hashes) & (self.owners[row] < np.array(keys, np.int64)[text_of])
+        starts, row, text_of = starts[owned], row[owned], text_of[owned]
         passage, place = self.passage[row], self.place[row]
+        # A window cannot begin in the last words of a stretch, so runs never pass from one to the next.
         new = (np.diff(starts) != 1) | (np.diff(passage) != 0) | (np.diff(place) != 1)
-        cuts = np.flatnonzero(np.r_[True, new, True]) if len(starts) else []
-        spans: list[list[int]] = []
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            begin, other, text = int(starts[a]), int(place[a]), self.passages[passage[a]]
-            size = int(b - a) + WINDOW - 1
-            whole = text[other : other + size] == words[begin : begin + size]
-            for first, last in [(begin, begin + size)] if whole else _equal_windows(text, other, words, begin, int(b - a)):
-                if spans and first <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], last)
+        cuts = np.flatnonzero(np.r_[True, new, True]) if len(starts) else np.zeros(0, np.int64)
+        begins, runs, offset = starts[cuts[:-1]], np.diff(cuts), (after - size)[text_of[cuts[:-1]]]
+        columns = (begins, runs, passage[cuts[:-1]], place[cuts[:-1]], text_of[cuts[:-1]], offset)
+        for begin, n, held, other, which, zero in zip(*(c.tolist() for c in columns), strict=True):
+            text, length, spans = self.passages[held], n + WINDOW - 1, found[which]
+            whole = text[other : other + length] == words[begin : begin + length]
+            for low, high in [(begin, begin + length)] if whole else _equal_windows(text, other, words, begin, n):
+                if spans and low - zero <= spans[-1]:
+                    spans[-1] = max(spans[-1], high - zero)
                 else:
-                    spans.append([first, last])
-        return [x for span in spans for x in span]
+                    spans += [low - zero, high - zero]
+        return found
 
 
 def _equal_windows(text: list[bytes], other: int, words: list[bytes], begin: int, n: int) -> Iterator[tuple[int, int]]:
@@ -412,18 +426,21 @@ def _stream(routes):
         now, automaton = None, None
         for batch in pieces(batches):
             out: list[list] = [[], [], []]
-            for shard, part, kind, key, same, at, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (shard, part) != now:
-                    now, automaton = (shard, part), PhraseAutomaton(routes.value, shard)
-                if kind == 0:
-                    automaton.add(key, body)
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            for group, mine in groupby(rows, lambda row: row[:3]):  # shard, part and kind
+                if group[:2] != now:
+                    now, automaton = group[:2], PhraseAutomaton(routes.value, group[0])
+                if group[2] == 0:
+                    for row in mine:
+                        automaton.add(row[3], row[6])
                     continue
                 if automaton.automaton is None:
                     automaton.compile()
-                spans = [x + at for x in automaton.covered(key, body.split())]
-                if spans:
-                    for column, value in zip(out, (key, same, spans), strict=True):
-                        column.append(value)
+                mine = list(mine)
+                for row, spans in zip(mine, automaton.covered_all([row[3] for row in mine], [row[6].split() for row in mine]), strict=True):
+                    if spans:
+                        for column, value in zip(out, (row[3], row[4], [x + row[5] for x in spans]), strict=True):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int32()))], names=["key", "same", "spans"])
 
     return run
