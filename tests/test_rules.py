@@ -1,10 +1,10 @@
 import pytest
-from fixtures import A, RULE, alert, rows, seed_tables, telemetry
+from fixtures import A, RULE, T0, alert, rows, seed_tables, telemetry
 from pyspark.sql import functions as F
 
 from fleetwatch import schemas
 from fleetwatch.functions.columns import breached
-from fleetwatch.operators.alerts import auto_resolve, open_alerts
+from fleetwatch.operators.alerts import auto_resolve, open_alerts, replay_alerts
 from fleetwatch.operators.rules import active_rules, decide, enabled_rules, evaluate, match_rules
 
 
@@ -82,3 +82,18 @@ def test_applying_decisions(spark):
     assert resolved["1"].resolved_by is None and resolved["1"].acknowledged_by == "u"
     assert resolved["2"].resolved_by == "u"
     assert resolved["1"].resolved_at == resolved["3"].resolved_at != resolved["2"].resolved_at
+
+
+def test_many_rules_out_of_a_small_table_are_not_broadcast_by_an_estimate(spark, capsys):
+    """300,000 rules that one row is exploded to are estimated as one; the driver must not collect them for a join."""
+    n = F.col("n").cast("string")
+    rules = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(300_000))).alias("n")).select(
+        n.alias("id"), n.alias("device_id"), F.lit("m").alias("metric"), F.lit("gt").alias("operator"), F.lit(0.0).alias("threshold"), F.lit("warning").alias("severity"), F.lit(True).alias("enabled")
+    )
+    readings = spark.range(1000).select(
+        (F.col("id") + 1).cast("string").alias("device_id"), F.lit(T0).alias("received_at"), F.col("id").alias("seq"), F.create_map(F.lit("m"), F.lit(1.0)).alias("readings")
+    )
+    found = replay_alerts(readings, rules)
+    found.explain()
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
+    assert found.count() == 1000
