@@ -218,3 +218,13 @@ def test_no_commands_is_the_plain_replay(spark):
     alerts, outcomes = replay_addressed(judged_readings(events, tables["alert_rules"]), spark.createDataFrame([], schemas.ALERT_COMMANDS))
     assert rows(alerts, *schemas.ALERTS.names) == rows(replay_alerts(events, tables["alert_rules"]), *schemas.ALERTS.names)
     assert outcomes.count() == 0
+
+
+def test_the_timeline_is_not_built_again_by_what_is_read(spark, capsys):
+    tables = seed_tables(spark)
+    events = telemetry(spark, [(A[1], {"power_kw": 60.0}, 0)])
+    commands = spark.createDataFrame([(1, at(5), "resolve", "no-such", USER)], schemas.ALERT_COMMANDS)
+    for found in replay_addressed(judged_readings(events, tables["alert_rules"]), commands):
+        found.explain()
+        plan = capsys.readouterr().out
+        assert "Window" not in plan and "FileScan" in plan
