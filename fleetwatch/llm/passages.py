@@ -28,7 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatch.llm.support import partitions, pieces, stored, utf8
+from fleetwatch.llm.support import Powers, partitions, pieces, stored, utf8, word_places
+from fleetwatch.llm.support import word_hashes as text_hashes
 
 WINDOW = 50
 PHRASE = 40
@@ -40,23 +41,7 @@ CHUNK = 2_000_000
 
 _SPAN = WINDOW - PHRASE + 1  # phrases in a window
 _ENTRY = np.dtype([("hash", "<u8"), ("low", "<i8"), ("high", "<i8")])
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-class _Powers:
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def __call__(self, n: int):
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
-            self.up = np.cumprod(np.r_[np.uint64(1), np.full(size, _BASE, np.uint64)])
-            self.down = np.cumprod(np.r_[np.uint64(1), np.full(size, _INVERSE, np.uint64)])
-        return self.up[:n], self.down[:n]
-
-
-_powers = _Powers()
+_powers = Powers()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -66,7 +51,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return text_hashes(b" ".join(words))
 
 
 def stretch_hashes(each: np.ndarray, size: int) -> np.ndarray:
@@ -167,7 +152,7 @@ def _collect(find, n_buckets: int):
 
 
 def _phrases(text: str | None) -> np.ndarray:
-    phrases, at, _ = singled_out(word_hashes(utf8(text).split()))
+    phrases, at, _ = singled_out(text_hashes(utf8(text)))
     return np.unique(phrases[at])
 
 
@@ -175,7 +160,7 @@ def _windows(routes):
     """Windows around routed phrases."""
 
     def find(text: str | None) -> np.ndarray:
-        each = word_hashes(utf8(text).split())
+        each = text_hashes(utf8(text))
         return np.unique(stretch_hashes(each, WINDOW)[routes.value.find(singled_out(each)[2]) > 0])
 
     return find
@@ -260,16 +245,17 @@ def _scan(routes, n_buckets: int):
         for batch in pieces(batches):
             found = []
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = utf8(text).split()
-                phrases, at, _ = singled_out(word_hashes(words))
+                raw = utf8(text)
+                begin, end = word_places(raw)
+                phrases, at, _ = singled_out(text_hashes(raw, (begin, end)))
                 to = table.find(phrases[at])
                 if key is None or not to.any():
-                    n, gone, digest = _kept(words, [])
+                    n, gone, digest = _kept(raw.split(), [])
                     found.append({"kind": 0, "key": key, "n_words": n, "n_removed": gone, "kept_sha256": digest})
                     continue
-                same = xxhash.xxh3_64_intdigest(utf8(text)) - (1 << 63)
+                same = xxhash.xxh3_64_intdigest(raw) - (1 << 63)
                 group = int(_groups(np.array([key]), n_buckets)[0])
-                parts = [{"shard": int(shard) - 1, "at": a, "words": b" ".join(words[a:b])} for shard in np.unique(to[to > 0]) for a, b in regions(at[to == shard], len(words))]
+                parts = [{"shard": int(shard) - 1, "at": a, "words": raw[begin[a] : end[b - 1]]} for shard in np.unique(to[to > 0]) for a, b in regions(at[to == shard], len(begin))]
                 found.append({"kind": 1, "key": key, "bucket": group, "body": text, "same": same, "parts": parts})
             yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in found], t) for c, t in _TYPES.items()], names=list(_TYPES))
 
@@ -308,15 +294,16 @@ def _cut_passages(routes):
             mine = hashes[np.searchsorted(owners, owner) : np.searchsorted(owners, owner, "right")]
             if not len(mine):
                 continue
-            words = utf8(text).split()
-            each = word_hashes(words)
+            raw = utf8(text)
+            begin, end = word_places(raw)
+            each = text_hashes(raw, (begin, end))
             edge = np.flatnonzero(np.diff(np.r_[False, np.isin(stretch_hashes(each, WINDOW), mine), False].astype(np.int8)))
             for a, b in zip(edge[::2], edge[1::2] + WINDOW - 1, strict=True):
                 phrases, at, _ = singled_out(each[a:b])
                 to = routes.value.find(phrases[at])
                 for shard in np.unique(to[to > 0]):
                     for c, d in regions(at[to == shard], b - a):
-                        for column, value in zip(out, (int(shard) - 1, owner, b" ".join(words[a + c : a + d])), strict=True):
+                        for column, value in zip(out, (int(shard) - 1, owner, raw[begin[a + c] : end[a + d - 1]]), strict=True):
                             column.append(value)
         return pa.table({"shard": pa.array(out[0], pa.int32()), "key": pa.array(out[1], pa.int64()), "passage": pa.array(out[2], pa.binary())})
 
@@ -330,67 +317,64 @@ class PhraseAutomaton:
         self.routes, self.mark = routes, shard + 1
         self.words: dict[bytes, int] = {}
         self.phrases: set[tuple] = set()
-        self.windows: dict[int, tuple[int, list[bytes], int]] = {}  # smallest owner, a passage and the window's place
+        self.passages: list[list[bytes]] = []
+        self.windows: list[tuple] = []  # of each passage: hashes of windows around its phrases, owner, passage, their places
         self.automaton = None
 
     def add(self, owner: int, passage: bytes) -> None:
         words = passage.split()
-        each = word_hashes(words)
+        each = text_hashes(passage)
         phrases, at, _ = singled_out(each)
-        hashes, number, windows = stretch_hashes(each, WINDOW).tolist(), self.words, self.windows
-        fresh = 0
-        for p in at[self.routes.find(phrases[at]) == self.mark].tolist():
-            self.phrases.add(tuple(number.setdefault(w, len(number) + 1) for w in words[p : p + PHRASE]))
-            for start in range(max(fresh, p - _SPAN + 1), min(p, len(words) - WINDOW) + 1):
-                held = windows.get(hashes[start])
-                if held is None or owner < held[0]:
-                    windows[hashes[start]] = (owner, words, start)
-                fresh = start + 1
+        at = at[self.routes.find(phrases[at]) == self.mark]
+        number = self.words
+        ids = tuple([number.setdefault(w, len(number) + 1) for w in words])
+        self.phrases.update([ids[p : p + PHRASE] for p in at.tolist()])
+        starts = _around(np.maximum(at - _SPAN + 1, 0), np.minimum(at, len(words) - WINDOW), len(words))
+        self.windows.append((stretch_hashes(each, WINDOW)[starts], np.full(len(starts), owner), np.full(len(starts), len(self.passages)), starts))
+        self.passages.append(words)
 
     def compile(self) -> None:
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         for phrase in self.phrases:
             self.automaton.add_word(phrase, 1)
         self.automaton.make_automaton()
-        # The windows as arrays in order of their hash; the words of a passage are one list, however many windows it has.
-        self.hashes = np.fromiter(self.windows, np.uint64, len(self.windows))
-        order = np.argsort(self.hashes)
-        self.hashes, held = self.hashes[order], list(self.windows.values())
-        self.passages = list({id(words): words for _, words, _ in held}.values())
-        number = {id(words): n for n, words in enumerate(self.passages)}
-        found = np.array([(owner, number[id(words)], start) for owner, words, start in held], np.int64).reshape(-1, 3)[order]
-        self.owners, self.passage, self.place = found.T
-        self.windows = {}
+        # The smallest owner of each window, in order of the hash.
+        none = (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)
+        hashes, owners, passage, place = (np.concatenate(c) for c in zip(none, *self.windows, strict=True))
+        order = np.lexsort((owners, hashes))
+        order = order[np.r_[True, hashes[order][1:] != hashes[order][:-1]]] if len(order) else order
+        self.hashes, self.owners, self.passage, self.place = hashes[order], owners[order], passage[order], place[order]
+        self.windows = []
 
     def covered(self, key: int, words: list[bytes]) -> list[int]:
         """Merged stretches of words in windows equal to a window of an owner smaller than key: begin, end, ..."""
-        return self.covered_all([key], [words])[0]
+        return self.covered_all([key], [b" ".join(words)])[0]
 
-    def covered_all(self, keys: list[int], texts: list[list[bytes]]) -> list[list[int]]:
-        """covered() of many stretches at once.
+    def covered_all(self, keys: list[int], texts: list[bytes]) -> list[list[int]]:
+        """covered() of many stretches at once, each the text of its words.
 
-        They go through the automaton as one sequence with a word between them that no phrase has. Each window around an
-        occurrence is looked up once, and a run of windows that follow one another in a passage is compared with it at
+        They go through the automaton as one sequence with a word behind each; windows never reach over it. Each window
+        around an occurrence is looked up once, and a run of windows that follow one another in a passage is compared with it at
         once, so the work is linear in the words, however many surroundings a phrase has.
         """
         found: list[list[int]] = [[] for _ in texts]
-        words = [w for text in texts for w in (*text, b"")]
+        raw = b"".join([text + b" \0 " for text in texts])
+        words = raw.split()
         ends = [last for last, _ in self.automaton.iter(tuple(map(self.words.get, words, repeat(0))))] if self.phrases else []
         if not ends:
             return found
-        size = np.array([len(text) + 1 for text in texts], np.int64)
-        after = np.cumsum(size)  # behind each stretch's separator
+        # The words of each stretch and its separator, by where the separator's bytes are.
+        places = word_places(raw)
+        after = np.searchsorted(places[0], np.cumsum([len(text) + 3 for text in texts]))
+        size = np.diff(np.r_[0, after])
         at = np.array(ends, np.int64) - PHRASE + 1
         text_of = np.searchsorted(after, at, "right")
         first, last = np.maximum(at - _SPAN + 1, (after - size)[text_of]), np.minimum(at, after[text_of] - 1 - WINDOW)
         fits = first <= last
-        step = np.zeros(len(words) + 1, np.int64)
-        np.add.at(step, first[fits], 1)
-        np.add.at(step, last[fits] + 1, -1)
-        starts = np.flatnonzero(np.cumsum(step) > 0)
+        starts = _around(first[fits], last[fits], len(words))
         if not len(starts):
             return found
-        hashes = stretch_hashes(word_hashes(words), WINDOW)[starts]
+        hashes = stretch_hashes(text_hashes(raw, places), WINDOW)[starts]
         text_of = np.searchsorted(after, starts, "right")
         row = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         owned = (self.hashes[row] == hashes) & (self.owners[row] < np.array(keys, np.int64)[text_of])
@@ -412,6 +396,13 @@ class PhraseAutomaton:
         return found
 
 
+def _around(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """The places below n that lie in a range from first to last, both included; an empty range has none."""
+    fits = first <= last
+    step = np.bincount(first[fits], minlength=n + 1) - np.bincount(last[fits] + 1, minlength=n + 1)
+    return np.flatnonzero(np.cumsum(step[:n]) > 0)
+
+
 def _equal_windows(text: list[bytes], other: int, words: list[bytes], begin: int, n: int) -> Iterator[tuple[int, int]]:
     """Those of n windows whose words are equal, where some only have equal hashes."""
     for k in range(n):
@@ -437,7 +428,7 @@ def _stream(routes):
                 if automaton.automaton is None:
                     automaton.compile()
                 mine = list(mine)
-                for row, spans in zip(mine, automaton.covered_all([row[3] for row in mine], [row[6].split() for row in mine]), strict=True):
+                for row, spans in zip(mine, automaton.covered_all([row[3] for row in mine], [row[6] for row in mine]), strict=True):
                     if spans:
                         for column, value in zip(out, (row[3], row[4], [x + row[5] for x in spans]), strict=True):
                             column.append(value)

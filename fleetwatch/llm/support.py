@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetwatch.session import scratch_path
@@ -50,6 +52,63 @@ def space_words(raw: bytes) -> list[bytes]:
     return raw.split()
 
 
+class Powers:
+    """Powers of an odd number and of its inverse modulo 2 ** 64, as many as were ever asked for."""
+
+    _BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 2 * len(self.up))
+            self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(size, x, np.uint64)]) for x in (self._BASE, pow(self._BASE, -1, 1 << 64)))
+        return self.up[:n], self.down[:n]
+
+
+_powers = Powers()
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_OF_BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+#: Words of more bytes are hashed one by one: sums of powers are for short words.
+_LONG = 64
+#: Bytes hashed at once.
+_BLOCK = 1 << 20
+
+
+def word_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each of the words of space_words()."""
+    space = np.ones(len(raw) + 2, bool)
+    np.take(_IS_SPACE, np.frombuffer(raw, np.uint8), out=space[1:-1])
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    return edge[::2], edge[1::2]
+
+
+def word_hashes(raw: bytes, places: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """A 64-bit hash of each of the words of space_words(), all at once: sums of powers over their bytes, mixed.
+
+    places: those of the words, if they are known.
+    """
+    begin, end = word_places(raw) if places is None else places
+    out = np.empty(len(begin), np.uint64)
+    first = 0
+    while first < len(begin):
+        zero = begin[first]
+        last = max(first + 1, int(np.searchsorted(end, zero + _BLOCK, "right")))
+        a, b = begin[first:last] - zero, end[first:last] - zero
+        if b[-1] <= _BLOCK:  # else one word, longer than a block
+            up, down = _powers(int(b[-1]))
+            total = np.zeros(int(b[-1]) + 1, np.uint64)
+            np.cumsum(_OF_BYTE[np.frombuffer(raw, np.uint8, int(b[-1]), int(zero))] * up, out=total[1:])
+            x = (total[b] - total[a]) * down[a]
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            out[first:last] = x ^ (x >> np.uint64(32))
+        first = last
+    for i in np.flatnonzero(end - begin > _LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(raw[begin[i] : end[i]])
+    return out
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of a few, so that long texts do not pile up in one worker."""
     for batch in batches:

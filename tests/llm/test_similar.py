@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 from brute import awkward, components, leaks, recurring  # noqa: E402
 
 from fleetwatch.llm import components as graph  # noqa: E402
-from fleetwatch.llm import jaccard, passages  # noqa: E402
+from fleetwatch.llm import jaccard, passages, support  # noqa: E402
 from fleetwatch.llm import leaks as leaking  # noqa: E402
 
 
@@ -95,6 +95,21 @@ def test_recurring_passages(spark, documents, clashing, rows):
     assert Counter(tuple(r) for r in got.collect()) == Counter(recurring(rows))
 
 
+@pytest.mark.parametrize("block", [64, 200, 1 << 20])
+def test_words_are_hashed_at_once(block, monkeypatch):
+    monkeypatch.setattr(support, "_BLOCK", block)
+    pick = random.Random(6)
+    odd = [b"a", b"\0", b"a\0", b"\x85", b"\xc2\xa0", b"x" * 63, b"x" * 65, b"y" * 500, b"\x1c", b"ab", b"ba"]
+    by = {}
+    for n in [0, 1, 2, 50, 400]:
+        raw = b"".join(pick.choice([*odd, *[bytes([c]) for c in range(97, 105)], b" ", b"\t\n", b"\x0b", b"\x0c\r "]) for _ in range(n))
+        words, (begin, end) = support.space_words(raw), support.word_places(raw)
+        assert [raw[a:b] for a, b in zip(begin, end, strict=True)] == words
+        hashes = support.word_hashes(raw).tolist()
+        assert len(hashes) == len(words) and all(by.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
+    assert len(set(by.values())) == len(by)
+
+
 def test_windows_single_out_the_same_phrase():
     pick = random.Random(4)
     words = [pick.choice([b"a", b"b", b"c"]) for _ in range(400)]
