@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatch.llm.components import components
-from fleetwatch.llm.support import partitions, pieces, stored, utf8
+from fleetwatch.llm.support import partitions, pieces, stored, utf8, word_hashes
 
 SHINGLE = 5
 #: Similar if 100 * intersection >= PERCENT * union.
@@ -60,11 +60,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the distinct shingles; a text of fewer words is one shingle, one without words has none."""
-    words = utf8(text).lower().split()
-    n = len(words)
+    raw = utf8(text).lower()
+    each = word_hashes(raw)
+    n = len(each)
     if n < size:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))] if n else [], np.uint64)
-    each = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(raw.split()))] if n else [], np.uint64)
     total = np.zeros(n - size + 1, np.uint64)
     for k in range(size):
         total = _mix(total + each[k : n - size + 1 + k]) if k else each[: n - size + 1] * _ODD[0]
