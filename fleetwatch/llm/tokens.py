@@ -12,6 +12,7 @@ import json
 import re
 import struct
 from functools import lru_cache
+from sys import getsizeof
 
 from tokenizers import Tokenizer
 
@@ -32,24 +33,35 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
+#: Bytes that one table holds at most. Chunks can be as long as a text, so their number alone bounds nothing.
+TABLE_BYTES = 48_000_000
+#: Bytes of a place in a table, beside its key and its ids.
+_PLACE = 64
+
+
 class _Table(dict):
     """Ids of a chunk as little-endian unsigned 32-bit integers, computed when first asked for."""
 
-    def __init__(self, encode, limit):
+    def __init__(self, encode, limit, most):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.most, self.held = encode, limit, most, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        ids = self.encode(key)
+        size = getsizeof(key) + getsizeof(ids) + _PLACE
+        if len(self) >= self.limit or self.held + size > self.most:
             self.clear()
-        self[key] = ids = self.encode(key)
+            self.held = 0
+        if size <= self.most:
+            self[key] = ids
+            self.held += size
         return ids
 
 
 class TextEncoder:
     """encode(text) gives exactly the ids of Tokenizer.encode(text, add_special_tokens=False), as bytes."""
 
-    def __init__(self, path: str, entries: int = 1_000_000):
+    def __init__(self, path: str, entries: int = 1_000_000, table_bytes: int = TABLE_BYTES):
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -59,9 +71,9 @@ class TextEncoder:
         self.plain = self.pattern and re.compile(self.pattern.replace(r"\p{L}", _LETTER).replace(r"\p{N}", _NUMBER)).findall
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
-        self.pre_tokens = _Table(self._pre_token, entries)
-        self.first = _Table(self._chunk, entries)
-        self.later = _Table(lambda part: self._chunk(" " + part), entries) if self.spaced else self.first
+        self.pre_tokens = _Table(self._pre_token, entries, table_bytes)
+        self.first = _Table(self._chunk, entries, table_bytes)
+        self.later = _Table(lambda part: self._chunk(" " + part), entries, table_bytes) if self.spaced else self.first
 
     @staticmethod
     def _plan(spec):

@@ -34,6 +34,21 @@ def test_encoder_equals_the_tokenizer(file):
         assert np.frombuffer(got.encode(text), "<u4").tolist() == want(text), repr(text)[:200]
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_encoder_tables_are_bounded_in_bytes(file):
+    """Texts without spaces are one chunk each: a bound on the number of chunks would keep all of these."""
+    want, most = plain(file), 200_000
+    got = TextEncoder(public_tokenizers.path(file), table_bytes=most)
+    for n in range(60):
+        for text in (chr(0x4E00 + n) * 3000, f"中{n} " + "x" * (n % 7)):
+            assert np.frombuffer(got.encode(text), "<u4").tolist() == want(text)
+        for held in (got.pre_tokens, got.first, got.later):
+            assert sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in held.items()) <= most
+    assert any((got.pre_tokens, got.first, got.later))
+    huge = "丂" * 150_000  # longer than a whole table: encoded, not kept
+    assert len(got.encode(huge)) == 4 * len(want(huge)) and huge not in got.first and huge not in got.later
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_planes_round_trip(bits):
     rng = np.random.default_rng(1)
