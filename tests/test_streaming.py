@@ -132,3 +132,23 @@ def test_null_topics_and_null_command_ids_are_reported(spark, tmp_path):
     assert rows(store.all(spark, "outcomes"), "cmd_id", "outcome") == sorted([(None, "ok"), (2, "bad_request")], key=repr)
     process_batch(good.union(keyless), 1, store, ROOT, tables["alert_rules"])
     assert store.batch(spark, "telemetry", 1).count() == 1 and store.batch(spark, "rejects", 1).count() == 1
+
+
+def test_a_small_batch_needs_few_tasks_whatever_the_shuffle_partitions(spark, tmp_path):
+    """Rows that a batch uses several times are not left in as many pieces as there are shuffle partitions."""
+    rules, store, tracker = seed_tables(spark)["alert_rules"], AlertStore(str(tmp_path / "store")), spark.sparkContext.statusTracker()
+    messages = encode_messages(history(spark), ROOT)
+    spread = messages.join(messages.select("seq").distinct(), "seq").select(*messages.columns)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.sparkContext.setJobGroup("small batch", "small batch")
+    try:
+        process_batch(spread, 0, store, ROOT, rules)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for job in tracker.getJobIdsForGroup("small batch") for s in tracker.getJobInfo(job).stageIds}
+    wide = [s for s in stages if (info := tracker.getStageInfo(s)) and info.numCompletedTasks >= 40]
+    assert len(wide) <= 1, f"{len(wide)} of {len(stages)} stages"
+    assert rows(current_alerts(spark, store), *FACTS) == rows(replay_alerts(history(spark), rules), *FACTS)
+    assert not list((tmp_path / "store" / "_held").glob("*/*/*/*")), "nothing that the batch held is left"
