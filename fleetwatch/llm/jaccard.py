@@ -4,8 +4,8 @@ Equal sets are one class. The join runs over classes and over components of link
 
 1.  Classes that agree in two of four min-hashes are compared with the most central class of their group, which
     confirms most links of a group of near copies with one comparison each.
-2.  Shingles are put in one order: rare ones by hash, then frequent ones, those that many classes in more than one
-    component hold. Two sets of Jaccard similarity t share at least 2 shingles of their prefixes of
+2.  Shingles are put in one order: rare ones by hash, then frequent ones, those that many of one in COUNTED classes hold
+    and more than one component. Two sets of Jaccard similarity t share at least 2 shingles of their prefixes of
     size - ceil(t * size) + 2 shingles. If one of the shared ones is rare, it is an index key by itself; if all are
     frequent, a pair of them is a key. A set with very many frequent shingles in its prefix would have too many pairs;
     it is matched by single frequent shingles with every set that has one in its prefix.
@@ -28,27 +28,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatch.llm.components import components
-from fleetwatch.llm.support import partitions, pieces, stored, utf8, word_hashes
+from fleetwatch.llm.support import partitions, pieces, stored, utf8, word_hashes, word_places
 
 SHINGLE = 5
 #: Similar if 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: A shingle may be frequent from this many classes on; a prefix with more frequent shingles is not paired up.
+#: A shingle counts as frequent from about this many classes on, judged by one in COUNTED of all classes.
 FREQUENT = 64
+COUNTED = 8
+#: Frequent shingles that the driver and each worker hold at most; the number above is doubled until no more are left.
+LISTED = 2_000_000
+#: A prefix with more frequent shingles is not paired up.
 PAIRED = 48
 #: Shingles counted or postings gathered at once by a task.
 CHUNK = 3_000_000
+#: Pairs of postings judged at once.
+PAIRS = 1 << 18
+#: Bytes of texts whose shingles are hashed at once.
+TOGETHER = 1 << 16
 #: Bits of the filter that says which classes are wanted; a false yes costs work only.
 FILTER_BITS = 27
 #: Members of a component, and partners, in one comparison block.
 BLOCK = 2000
 
+#: The first SHINGLE ones weigh the words of a shingle.
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 #: n is the size of a set, rest what is left of it from the key's place in the prefix on; LARGE and above are LARGE.
 LARGE = 65_535
 _POST = np.dtype([("key", "<u8"), ("comp", "<i8"), ("n", "<u2"), ("rest", "<u2")])
-_COUNT = np.dtype([("key", "<u8"), ("n", "<i8")])
 _RANGE = np.dtype([("key", "<u8"), ("low", "<i8"), ("high", "<i8")])
+_COUNT = np.dtype([("key", "<u8"), ("tag", "<u4")])
+_PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])
 _DENSE = np.dtype([("key", "<u8"), ("comp", "<i8"), ("n", "<u2"), ("rest", "<u2"), ("dense", "<u2")])
 
 
@@ -58,17 +68,39 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted hashes of the distinct shingles; a text of fewer words is one shingle, one without words has none."""
-    raw = utf8(text).lower()
-    each = word_hashes(raw)
-    n = len(each)
-    if n < size:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(raw.split()))] if n else [], np.uint64)
-    total = np.zeros(n - size + 1, np.uint64)
+def _sets_of(raws: list[bytes], size: int) -> list[np.ndarray]:
+    whole = b" ".join(raws)
+    places = word_places(whole)
+    each = word_hashes(whole, places)
+    first = np.searchsorted(places[0], np.cumsum([0, *(len(raw) + 1 for raw in raws)])).tolist()
+    windows = max(0, len(each) - size + 1)
+    total = np.zeros(windows, np.uint64)
     for k in range(size):
-        total = _mix(total + each[k : n - size + 1 + k]) if k else each[: n - size + 1] * _ODD[0]
-    return np.unique(total)
+        total += each[k : k + windows] * _ODD[k]
+    total = _mix(total)
+    found = []
+    for raw, a, b in zip(raws, first, first[1:], strict=False):
+        if b - a < size:
+            found.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(raw.split()))] if b > a else [], np.uint64))
+            continue
+        mine = np.sort(total[a : b - size + 1])
+        new = mine[1:] != mine[:-1]
+        found.append(mine if new.all() else mine[np.r_[True, new]])
+    return found
+
+
+def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> Iterator[np.ndarray]:
+    """Sorted hashes of the distinct shingles of each text; one of fewer words is one shingle, one without words has none."""
+    held, n = [], 0
+    for text in texts:
+        raw = utf8(text).lower()
+        if held and n + len(raw) > TOGETHER:
+            yield from _sets_of(held, size)
+            held, n = [], 0
+        held.append(raw)
+        n += len(raw)
+    if held:
+        yield from _sets_of(held, size)
 
 
 def outline(shingles: np.ndarray) -> bytes | None:
@@ -163,7 +195,7 @@ def sketch(shingles: np.ndarray) -> list[int]:
 
 def _dealt(rows: np.ndarray, n_buckets: int) -> Iterator[tuple[int, bytes]]:
     """Rows by bucket of their key."""
-    bucket = (_mix(rows["key"]) % np.uint64(n_buckets)).astype(np.int64)
+    bucket = (_mix(rows["key"]) % np.uint64(n_buckets)).astype(np.min_scalar_type(n_buckets))  # few bits sort fastest
     order = np.argsort(bucket, kind="stable")
     rows, bucket = rows[order], bucket[order]
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(rows) else []
@@ -218,57 +250,67 @@ _SIGNED = "kind int, key long, same long, cls long, n long, keys array<bigint>,
 
 
 def _sign(n_buckets: int):
-    """One row per document with its class, and counts of shingles that several classes of a chunk hold."""
+    """One row per document with its class, and the shingles of one in COUNTED classes, by bucket."""
     types = {"kind": pa.int32(), "key": pa.int64(), "same": pa.int64(), "cls": pa.int64(), "n": pa.int64(), "keys": pa.list_(pa.int64()), "outline": pa.binary(), "bucket": pa.int32(), "blob": pa.binary()}
 
     def rows(found: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in found], t) for c, t in types.items()], names=list(types))
 
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        tokens = np.sort(np.concatenate(held))
-        starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
-        n = np.diff(np.r_[starts, len(tokens)])
-        out = np.zeros(int((n > 1).sum()), _COUNT)
-        out["key"], out["n"] = tokens[starts][n > 1], n[n > 1]
-        return rows([{"kind": 1, "bucket": b, "blob": x} for b, x in _dealt(out, n_buckets)] + [{"kind": 2}])
+    def counted(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        out = np.empty(sum(map(len, held.values())), _COUNT)
+        out["key"] = np.concatenate(list(held.values()))
+        out["tag"] = np.repeat([cls // COUNTED & (1 << 32) - 1 for cls in held], [len(s) for s in held.values()])
+        return rows([{"kind": 1, "bucket": b, "blob": x} for b, x in _dealt(out, n_buckets)])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held, size = set(), [], 0
+        held, size = {}, 0
         for batch in pieces(batches):
             found = []
-            for key, same, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                shingles = shingle_set(text)
+            keys, sames, texts = (c.to_pylist() for c in batch.columns)
+            for key, same, shingles in zip(keys, sames, shingle_sets(texts), strict=True):
                 row = {"kind": 0, "key": key, "same": same, "n": len(shingles)}
                 if len(shingles):
                     row["cls"] = class_id(shingles)
                     row["keys"] = sketch(shingles)
                     row["outline"] = outline(shingles)
-                    if row["cls"] not in seen:
-                        seen.add(row["cls"])
-                        held.append(shingles)
+                    if row["cls"] % COUNTED == 0 and row["cls"] not in held:
+                        held[row["cls"]] = shingles
                         size += len(shingles)
                 found.append(row)
             yield rows(found)
             if size > CHUNK:
                 yield counted(held)
-                seen, held, size = set(), [], 0
+                held, size = {}, 0
         if held:
             yield counted(held)
 
     return sign
 
 
-def _frequent(counts: DataFrame, chunks: int, least: int) -> np.ndarray:
-    """Shingles that may be in more than `least` classes: counts of chunks that saw two or more, and one for others."""
-
-    def heavy(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(table["blob"].to_pylist()), _COUNT)
-        keys, at = np.unique(rows["key"], return_inverse=True)
-        most = np.bincount(at, rows["n"] - 1) + chunks
-        return pa.table({"keys": pa.array([keys[most > least].tobytes()], pa.binary())})
+def _frequent(counted: DataFrame) -> np.ndarray:
+    """Shingles of about FREQUENT classes or more, or of twice as many and so on if that leaves more than LISTED.
 
-    found = counts.groupBy("bucket").applyInArrow(heavy, "keys binary").toLocalIterator()
-    return np.sort(np.frombuffer(b"".join(r["keys"] for r in found), np.uint64))
+    counted has the shingles of one in COUNTED classes, tagged so that a class counts once however many tasks saw it. So
+    neither the number of tasks nor that of copies matters.
+    """
+    least = max(2, FREQUENT // COUNTED)
+
+    def levels(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        keys, n = np.unique(_distinct(np.frombuffer(b"".join(table["blob"].to_pylist()), _COUNT))["key"], return_counts=True)
+        keys, n = keys[n >= least], n[n >= least]
+        level = np.log2(n / least).astype(np.int64)
+        each = [(int(x), keys[level == x]) for x in np.unique(level)]
+        return pa.table({"level": pa.array([x for x, _ in each], pa.int32()), "n": pa.array([len(k) for _, k in each], pa.int64()), "keys": pa.array([k.tobytes() for _, k in each], pa.binary())})
+
+    found = stored(counted.groupBy("bucket").applyInArrow(levels, "level int, n long, keys binary"), "frequent")
+    lowest, held = 0, 0
+    for r in found.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():
+        held += r["n"]
+        if held > LISTED:
+            lowest = r["level"] + 1
+            break
+    rows = found.where(F.col("level") >= lowest).select("keys").toLocalIterator()
+    return np.sort(np.frombuffer(b"".join(r["keys"] for r in rows), np.uint64))
 
 
 def _is_in(x: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -314,8 +356,7 @@ def _gather(wanted, known, n_buckets: int):
         seen, ranges = set(), _Ranges(known.value) if known else None
         for batch in pieces(batches):
             found = []
-            for text in batch.column(0).to_pylist():
-                shingles = shingle_set(text)
+            for shingles in shingle_sets(batch.column(0).to_pylist()):
                 if not len(shingles) or (cls := class_id(shingles)) in seen:
                     continue
                 seen.add(cls)
@@ -339,11 +380,28 @@ def _prefix(shingles: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.nd
     return rare[:length], frequent[: max(0, length - len(rare))]
 
 
+def _distinct(rows: np.ndarray) -> np.ndarray:
+    """Rows of a structured array without repetition: only those that share their first field are sorted by all."""
+    names = rows.dtype.names
+    order = np.argsort(rows[names[0]])
+    first = rows[names[0]][order]
+    same = np.zeros(len(rows) + 1, bool)
+    same[1:-1] = first[1:] == first[:-1]
+    several = same[1:] | same[:-1]
+    once, rows = rows[order[~several]], rows[order[several]]
+    rows = rows[np.lexsort([rows[name] for name in names[::-1]])]
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for name in names:
+        new[1:] |= rows[name][1:] != rows[name][:-1]
+    return np.concatenate([once, rows[new]])
+
+
 class _Postings:
-    """Index entries of prefixes, without repetition within a chunk."""
+    """Index entries of prefixes; repeated ones of a chunk only once, unless each component comes with one set only."""
 
-    def __init__(self, common: np.ndarray, n_buckets: int):
-        self.common, self.n_buckets = common, n_buckets
+    def __init__(self, common: np.ndarray, n_buckets: int, single: bool = False):
+        self.common, self.n_buckets, self.single = common, n_buckets, single
         self.plain, self.dense, self.size = [], [], 0
 
     def add(self, shingles: np.ndarray, comp: int) -> None:
@@ -369,7 +427,8 @@ class _Postings:
     def flush(self) -> Iterator[pa.RecordBatch]:
         for kind, held in ((0, self.plain), (1, self.dense)):
             if held:
-                yield _blobs(kind, np.unique(np.concatenate(held)), self.n_buckets)
+                rows = np.concatenate(held)
+                yield _blobs(kind, rows if self.single else _distinct(rows), self.n_buckets)
         self.plain, self.dense, self.size = [], [], 0
 
 
@@ -380,14 +439,13 @@ def _post(wanted, common, n_buckets: int, from_sets: bool):
     """Postings of documents that the filter leaves out (each its own component), or of stored sets with components."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, out = set(), _Postings(common.value, n_buckets)
+        seen, out = set(), _Postings(common.value, n_buckets, not from_sets)
         for batch in pieces(batches):
             if from_sets:
                 for blob, comp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     out.add(np.frombuffer(blob, np.uint64), comp)
             else:
-                for text in batch.column(0).to_pylist():
-                    shingles = shingle_set(text)
+                for shingles in shingle_sets(batch.column(0).to_pylist()):
                     if len(shingles) and (cls := class_id(shingles)) not in seen and cls not in wanted.value:
                         seen.add(cls)
                         out.add(shingles, cls)
@@ -406,38 +464,48 @@ def _similar_sizes(low, high, rest, i: slice | np.ndarray, j: slice | np.ndarray
 
 
 def _crossed(rows: np.ndarray) -> Iterator[np.ndarray]:
-    """Pairs of different components that meet in a key and may be similar, from rows sorted by key and component."""
+    """Pairs of different components that meet in a key and may be similar, the smaller one first; may repeat."""
+    order = np.argsort(rows["key"])
+    same = np.zeros(len(rows) + 1, bool)
+    same[1:-1] = rows["key"][order[1:]] == rows["key"][order[:-1]]
+    rows = rows[order[same[1:] | same[:-1]]]  # most keys are in one row only
     if not len(rows):
         return
+    rows = rows[np.lexsort([rows["comp"], rows["key"]])]
     starts = np.flatnonzero(np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["comp"][1:] != rows["comp"][:-1])])
     keys, comps = rows["key"][starts], rows["comp"][starts]
     low, high = np.minimum.reduceat(rows["n"], starts).astype(np.int64), np.maximum.reduceat(rows["n"], starts).astype(np.int64)
     rest = np.maximum.reduceat(rows["rest"], starts).astype(np.int64)
     dense = np.maximum.reduceat(rows["dense"], starts) if "dense" in rows.dtype.names else np.ones(len(starts), np.int64)
     begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    end = np.r_[begin[1:], len(keys)]
-    for a, b in zip(begin[end - begin > 1], end[end - begin > 1], strict=True):
-        for at in range(a, b - 1):
-            j = slice(at + 1, b)
-            good = _similar_sizes(low, high, rest, slice(at, at + 1), j) & ((dense[at] | dense[j]) > 0)
+    size = np.diff(np.r_[begin, len(keys)])
+    end = np.repeat(begin + size, size)
+    i, step = np.arange(len(keys)), 1
+    while len(i := i[i + step < end[i]]):  # each row with the row `step` places on in its group
+        for at in range(0, len(i), PAIRS):
+            a = i[at : at + PAIRS]
+            good = _similar_sizes(low, high, rest, a, a + step) & ((dense[a] | dense[a + step]) > 0)
             if good.any():
-                others = comps[j][good]
-                yield np.stack([np.full(len(others), comps[at]), others], axis=1)
+                a = a[good]
+                pairs = np.empty(len(a), _PAIR)
+                pairs["a"], pairs["b"] = comps[a], comps[a + step]
+                yield pairs
+        step += 1
 
 
 def _meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Pairs of components that share a key and may be similar, each once per bucket, smaller component first."""
     kinds, blobs = table["kind"].to_numpy(), table["blob"].to_pylist()
-    held, size = [np.zeros((0, 2), np.int64)], 0
+    held, size = [np.zeros(0, _PAIR)], 0
     for kind, dtype in ((0, _POST), (1, _DENSE)):
-        for found in _crossed(np.unique(np.frombuffer(b"".join(x for k, x in zip(kinds, blobs, strict=True) if k == kind), dtype))):
+        for found in _crossed(np.frombuffer(b"".join(x for k, x in zip(kinds, blobs, strict=True) if k == kind), dtype)):
             held.append(found)
             size += len(found)
             if size > CHUNK:
-                held = [np.unique(np.concatenate(held), axis=0)]
+                held = [_distinct(np.concatenate(held))]
                 size = 0
-    pairs = np.unique(np.concatenate(held), axis=0)
-    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+    pairs = _distinct(np.concatenate(held))
+    return pa.table({"a": pa.array(pairs["a"]), "b": pa.array(pairs["b"])})
 
 
 def _compare(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
@@ -503,9 +571,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     texts = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(body).alias("same"), body.alias("body"))
     signed = stored(texts.mapInArrow(_sign(n_buckets), _SIGNED), "signed")
     rows = signed.where("kind = 0").select("key", "same", "cls", "n", "keys", "outline")
-    totals = signed.agg(F.sum(F.when(F.col("kind") == 2, 1).otherwise(0)).alias("chunks"), F.sum("n").alias("tokens")).first()
-    chunks, tokens = totals["chunks"] or 0, totals["tokens"] or 0
-    known = _frequent(signed.where("kind = 1"), chunks, max(FREQUENT, 2 * chunks, math.ceil(tokens / 1e6)))  # 2e6 at most
+    known = _frequent(signed.where("kind = 1").select("bucket", "blob"))
 
     classes = stored(rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("key").alias("least"), F.first("keys").alias("keys"), F.first("n").alias("n"), F.first("outline").alias("outline")), "classes")
     hints = classes.select("cls", F.explode("keys").alias("hint"))

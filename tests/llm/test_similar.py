@@ -64,6 +64,32 @@ def test_candidates_miss_no_link():
         assert links and links <= found
 
 
+def test_frequent_does_not_follow_the_tasks(spark, documents, monkeypatch):
+    """A line in 150 texts that resemble each other in nothing else makes few candidates, however rows are dealt."""
+    line = " ".join(f"line{i}" for i in range(9))
+    rows = [(k, f"{line} " + " ".join(f"w{k}x{i}" for i in range(20))) for k in range(150)]
+    made, possible = [], jaccard.possible
+    monkeypatch.setattr(jaccard, "possible", lambda pairs, outlines: made.append(pairs.count()) or possible(pairs, outlines))
+    got = jaccard.similar_documents(documents(rows).repartition(100)).collect()
+    assert {r["key"]: r["component_id"] for r in got} == {k: k for k, _ in rows}
+    assert made[-1] < 1000
+
+
+def test_sets_of_many_texts_at_once(monkeypatch):
+    texts = [t for _, t in awkward()] + [None, "", " ", "a", "a b c d", "a b c d e", "A b\tc d e a b c d e", "x " * 3000]
+    alone = [next(jaccard.shingle_sets([t])).tolist() for t in texts]
+    for together in (1, 50, 1 << 16):
+        monkeypatch.setattr(jaccard, "TOGETHER", together)
+        assert [s.tolist() for s in jaccard.shingle_sets(texts)] == alone
+    by = {}
+    for text, found in zip(texts, alone, strict=True):
+        words = support.utf8(text).lower().split()
+        want = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+        assert len(found) == len(want) and found == sorted(set(found))
+        by.setdefault(frozenset(want), set()).add(tuple(found))
+    assert all(len(x) == 1 for x in by.values()) and len({x for y in by.values() for x in y}) == len(by)
+
+
 def test_keep_one(spark, documents, clashing, rows):
     docs = clashing(documents(rows))
     kept = jaccard.keep_one(docs)
