@@ -66,7 +66,7 @@ def test_candidates_miss_no_link():
 
 def test_frequent_does_not_follow_the_tasks(spark, documents, monkeypatch):
     """A line in 150 texts that resemble each other in nothing else makes few candidates, however rows are dealt."""
-    line = " ".join(f"line{i}" for i in range(9))
+    line = " ".join(f"line{i}" for i in range(30))
     rows = [(k, f"{line} " + " ".join(f"w{k}x{i}" for i in range(20))) for k in range(150)]
     made, possible = [], jaccard.possible
     monkeypatch.setattr(jaccard, "possible", lambda pairs, outlines: made.append(pairs.count()) or possible(pairs, outlines))
